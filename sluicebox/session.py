@@ -17,7 +17,8 @@ DEFAULTS = {
 
 
 def build_session(app_name: str = "sluicebox", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name)
+    # Recording the Python line of every column expression takes longer than building the plans themselves.
+    builder = SparkSession.builder.appName(app_name).config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for name, value in (conf or {}).items():

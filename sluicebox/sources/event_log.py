@@ -6,77 +6,79 @@ a defect where the rules ask for one; none of them drops a row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from sluicebox.sources.raw import RawTables
 
+_BASE = (
+    "event_id",
+    "event_type",
+    "value",
+    "ts AS timestamp",
+    "user_id AS uid",
+    "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
+    "concat('sess_', user_id, '_', CAST(ts AS DATE)) AS session_id",
+    "concat('usr_', user_id) AS user_id",
+)
+
+_SKU = "concat('SKU', 1000 + k % 40)"
+
+_TRAFFIC = (
+    "session_id",
+    "user_id",
+    "timestamp",
+    """CASE WHEN event_id % 26 = 0 THEN NULL
+            WHEN uid % 3 = 0 THEN 'Meta' WHEN uid % 3 = 1 THEN 'Google' ELSE 'Direct' END AS traffic_source""",
+    "CASE WHEN uid % 20 < 12 THEN 'mobile' WHEN uid % 20 < 19 THEN 'desktop' ELSE 'tablet' END AS device",
+    f"{_SKU} AS product_id_viewed",
+)
+
+_CART = (
+    "session_id",
+    "user_id",
+    "timestamp",
+    "CASE WHEN k % 17 = 5 THEN 'cart_ping' WHEN k % 8 = 0 THEN 'remove_from_cart' ELSE 'add_to_cart' END AS action",
+    f"{_SKU} AS product_id",
+)
+
+_CHECKOUT = (
+    "concat('co_', session_id) AS checkout_id",
+    "session_id",
+    "user_id",
+    "timestamp",
+    """CASE WHEN k % 10 = 9 THEN 'bogus' WHEN k % 3 = 0 THEN 'checkout_started'
+            WHEN k % 3 = 1 THEN 'payment_attempted' ELSE 'payment_failed' END AS checkout_status""",
+    "value AS cart_value",
+)
+
+_ORDERS = (
+    "concat('ord_', CASE WHEN event_id % 20 = 1 THEN event_id - 1 ELSE event_id END) AS order_id",
+    "CASE WHEN event_id % 48 = 0 THEN concat('sess_orphan_', event_id) ELSE session_id END AS session_id",
+    "user_id",
+    "timestamp",
+    "CASE WHEN event_id % 100 = 7 THEN -value ELSE value END AS gross_revenue",
+    """CASE WHEN k % 4 = 0 THEN CAST(CAST(value AS DECIMAL(18, 2)) * CAST('0.1' AS DECIMAL(2, 1)) AS DOUBLE)
+            ELSE 0.0D END AS discount_applied""",
+    f"{_SKU} AS product_id",
+    """CASE WHEN k % 25 = 3 THEN 'unknwon' WHEN k % 20 = 1 THEN 'cancelled' WHEN k % 33 = 2 THEN 'refunded'
+            ELSE 'paid' END AS order_status""",
+)
+
 
 def load_event_log(spark: SparkSession, directory: str) -> RawTables:
     return shop_tables(spark.read.parquet(f"{directory}/events.parquet"))
 
 
-def _copies(events: DataFrame, every: int) -> DataFrame:
+def _with_copies(events: DataFrame, every: int) -> DataFrame:
     """Repeat each event whose id is a multiple of ``every``, in one pass over the events."""
-    count = F.when(F.col("event_id") % every == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return events.withColumn("copy", F.explode(count)).drop("copy")
+    return events.selectExpr("*", f"explode(array_repeat(1, IF(event_id % {every} = 0, 2, 1))) AS copy")
 
 
 def shop_tables(events: DataFrame) -> RawTables:
-    uid, k, event_id = F.col("uid"), F.col("k"), F.col("event_id")
-    base = events.select(
-        "event_id",
-        F.col("user_id").alias("uid"),
-        F.col("ts").alias("timestamp"),
-        "event_type",
-        "value",
-        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
-    )
-    session_id: Column = F.concat(F.lit("sess_"), uid.cast("string"), F.lit("_"), F.col("timestamp").cast("date").cast("string"))
-    user_id = F.concat(F.lit("usr_"), uid.cast("string"))
-    sku = F.concat(F.lit("SKU"), (k % 40 + 1000).cast("string"))
-    session, user = session_id.alias("session_id"), user_id.alias("user_id")
-
-    source = F.when(event_id % 26 == 0, None).when(uid % 3 == 0, "Meta").when(uid % 3 == 1, "Google").otherwise("Direct")
-    device = F.when(uid % 20 < 12, "mobile").when(uid % 20 < 19, "desktop").otherwise("tablet")
-    traffic = _copies(base.where(F.col("event_type").isin("view", "signup")), 83).select(
-        session, user, "timestamp", source.alias("traffic_source"), device.alias("device"), sku.alias("product_id_viewed")
-    )
-
-    action = F.when(k % 17 == 5, "cart_ping").when(k % 8 == 0, "remove_from_cart").otherwise("add_to_cart")
-    cart = _copies(base.where(F.col("event_type") == "click"), 56).select(
-        session, user, "timestamp", action.alias("action"), sku.alias("product_id")
-    )
-
-    status = (
-        F.when(k % 10 == 9, "bogus")
-        .when(k % 3 == 0, "checkout_started")
-        .when(k % 3 == 1, "payment_attempted")
-        .otherwise("payment_failed")
-    )
-    checkout = base.where(F.col("event_type") == "error").select(
-        F.concat(F.lit("co_"), session_id).alias("checkout_id"),
-        session,
-        user,
-        "timestamp",
-        status.alias("checkout_status"),
-        F.col("value").alias("cart_value"),
-    )
-
-    order_number = F.when(event_id % 20 == 1, event_id - 1).otherwise(event_id)
-    orphan_session = F.concat(F.lit("sess_orphan_"), event_id.cast("string"))
-    tenth = (F.col("value").cast("decimal(18,2)") * F.lit("0.1").cast("decimal(2,1)")).cast("double")
-    order_status = (
-        F.when(k % 25 == 3, "unknwon").when(k % 20 == 1, "cancelled").when(k % 33 == 2, "refunded").otherwise("paid")
-    )
-    orders = base.where(F.col("event_type") == "purchase").select(
-        F.concat(F.lit("ord_"), order_number.cast("string")).alias("order_id"),
-        F.when(event_id % 48 == 0, orphan_session).otherwise(session_id).alias("session_id"),
-        user,
-        "timestamp",
-        F.when(event_id % 100 == 7, -F.col("value")).otherwise(F.col("value")).alias("gross_revenue"),
-        F.when(k % 4 == 0, tenth).otherwise(F.lit(0.0)).alias("discount_applied"),
-        sku.alias("product_id"),
-        order_status.alias("order_status"),
+    base = events.selectExpr(*_BASE)
+    return RawTables(
+        traffic_logs=_with_copies(base.where("event_type IN ('view', 'signup')"), 83).selectExpr(*_TRAFFIC),
+        cart_actions=_with_copies(base.where("event_type = 'click'"), 56).selectExpr(*_CART),
+        checkout_events=base.where("event_type = 'error'").selectExpr(*_CHECKOUT),
+        orders=base.where("event_type = 'purchase'").selectExpr(*_ORDERS),
     )
-    return RawTables(traffic, cart, checkout, orders)
