@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluicebox.sources.raw import RawTables
 
+EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
 _BASE = (
     "event_id",
     "event_type",
@@ -66,7 +68,7 @@ _ORDERS = (
 
 
 def load_event_log(spark: SparkSession, directory: str) -> RawTables:
-    return shop_tables(spark.read.parquet(f"{directory}/events.parquet"))
+    return shop_tables(spark.read.schema(EVENTS_SCHEMA).parquet(f"{directory}/events.parquet"))
 
 
 def _with_copies(events: DataFrame, every: int) -> DataFrame:
