@@ -14,7 +14,8 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 def write_report_csv(report: DataFrame, path: str) -> None:
     """Write a report of a few rows as one CSV file with a header, in the report's row order."""
-    report.coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    options = {"header": True, "emptyValue": "", "escape": '"'}
+    report.coalesce(1).write.mode("overwrite").options(**options).csv(path)
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
