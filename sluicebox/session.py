@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings, applied only where the cluster or spark-submit has not chosen a value.
 DEFAULTS = {
@@ -29,3 +32,25 @@ def build_session(app_name: str = "sluicebox", master: str | None = None, conf:
         if not submitted.contains(name):
             spark.conf.set(name, value)
     return spark
+
+
+# Input per shuffle partition, and the number of partitions at which the blocks of a shuffle become the larger problem.
+PARTITION_BYTES = 256 * 1024**2
+MOST_PARTITIONS = 100_000
+
+
+def partitions_for(input_bytes: int, at_least: int) -> int:
+    return max(at_least, min(ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS))
+
+
+def size_shuffles(spark: SparkSession, path: str) -> int:
+    """Start shuffles with partitions in proportion to the files below ``path``.
+
+    Only file sizes are read. Adaptive execution merges the partitions that turn out small, so a high start costs little,
+    while too few would spill. A number of partitions set by the user is kept as the least.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    input_bytes = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first().bytes
+    partitions = partitions_for(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions

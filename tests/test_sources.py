@@ -11,6 +11,7 @@ from sluicebox import job
 from sluicebox.operators.session_filter import filter_sessions
 from sluicebox.plans import reports
 from sluicebox.plans.mart import fct_sessions
+from sluicebox.session import partitions_for, size_shuffles
 from sluicebox.sources.event_log import load_event_log
 from sluicebox.sources.raw import SCHEMAS, load_raw, read_parquet
 from sluicebox.sources.sinks import read_mart, write_mart, write_parquet, write_report_csv
@@ -130,3 +131,12 @@ def test_job(spark, tmp_path):
     assert _csv(f"{tmp_path}/funnel_validation")[-1] == ["Purchase sessions", "3", "60.00%", "15.00%"]
     assert len(_csv(f"{tmp_path}/headline_report")) == 15
     assert read_mart(spark, f"{tmp_path}/fct_sessions").count() == 20
+
+
+def test_shuffle_partitions_grow_with_the_input(spark):
+    tebibyte = 1024**4
+    assert partitions_for(1000, at_least=8) == 8
+    assert partitions_for(tebibyte, at_least=200) == 4096
+    assert partitions_for(100 * tebibyte, at_least=200) == 100_000
+    assert size_shuffles(spark, "/root/testdata/sf0.001") == 8
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
