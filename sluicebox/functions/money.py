@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from sluicebox.config import MONEY_TYPE
 
+# Money units per currency unit: the scale of the money type. A SQL double literal.
+UNITS = "10000D"
+
 
 def exact(amount: Column) -> Column:
     return amount.cast(MONEY_TYPE)
@@ -15,3 +18,8 @@ def exact(amount: Column) -> Column:
 def exact_sum(amount: Column) -> Column:
     """Total of a double column that is the same for every row order and partitioning."""
     return F.sum(exact(amount)).cast("double")
+
+
+def money_units(amount: Column) -> Column:
+    """The same exact amount as a whole number of units."""
+    return (exact(amount) * 10_000).cast("bigint")

@@ -7,9 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.config import MART_COLUMNS, ORDER_STATUSES
-from sluicebox.functions.money import exact
-from sluicebox.functions.rates import flag
+from sluicebox.config import ORDER_STATUSES
+from sluicebox.functions.money import UNITS, money_units
 from sluicebox.operators.skew import unique_side
 from sluicebox.plans.staging import (
     stg_cart_actions,
@@ -21,17 +20,9 @@ from sluicebox.plans.staging import (
 )
 from sluicebox.sources.raw import RawTables, register_raw
 
-# A session's order status is the alphabetically last one. The rank keeps that order and, being a number, keeps the
+# A session's order status is the alphabetically last one. Its rank keeps that order and, being a number, keeps the
 # aggregation by session in hash tables.
-_STATUSES_IN_ORDER = sorted(ORDER_STATUSES)
-
-
-def _status_rank(status: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(s) for s in _STATUSES_IN_ORDER]), status).cast("int")
-
-
-def _status_of_rank(rank: Column) -> Column:
-    return F.get(F.array(*[F.lit(s) for s in _STATUSES_IN_ORDER]), rank - 1)
+_STATUSES = ", ".join(f"'{status}'" for status in sorted(ORDER_STATUSES))
 
 
 def session_visits(traffic: DataFrame) -> DataFrame:
@@ -61,48 +52,44 @@ def session_visits(traffic: DataFrame) -> DataFrame:
 def _cart_part(cart: DataFrame) -> DataFrame:
     """Cart events by session and product; a product counts once per action however often it was added."""
     products = cart.groupBy("session_id", "product_id").agg(
-        F.max(flag(F.col("action") == "add_to_cart")).alias("added"),
-        F.max(flag(F.col("action") == "remove_from_cart")).alias("removed"),
+        F.expr("max(int(action = 'add_to_cart')) AS added"), F.expr("max(int(action = 'remove_from_cart')) AS removed")
     )
-    named = F.col("product_id").isNotNull()
-    return products.select(
+    return products.selectExpr(
         "session_id",
-        F.col("added").alias("added_to_cart"),
-        flag(named & (F.col("added") == 1)).alias("products_added"),
-        flag(named & (F.col("removed") == 1)).alias("products_removed"),
+        "added AS added_to_cart",
+        "IF(product_id IS NULL, 0, added) AS products_added",
+        "IF(product_id IS NULL, 0, removed) AS products_removed",
     )
 
 
 def _checkout_part(checkout: DataFrame) -> DataFrame:
-    status = F.col("checkout_status")
-    return checkout.select(
+    return checkout.selectExpr(
         "session_id",
-        F.lit(1).alias("reached_checkout"),
-        flag(status == "payment_attempted").alias("payment_attempted"),
-        flag(status == "payment_failed").alias("payment_failed"),
+        "1 AS reached_checkout",
+        "int(checkout_status = 'payment_attempted') AS payment_attempted",
+        "int(checkout_status = 'payment_failed') AS payment_failed",
         "cart_value",
     )
 
 
 def _order_part(orders: DataFrame) -> DataFrame:
-    paid = F.col("is_paid") == 1
+    """Order lines with the amounts of paid ones in money units, which a shuffle carries in half the space of decimals."""
 
-    def if_paid(amount: str) -> Column:
-        return F.when(paid, exact(F.col(amount))).otherwise(exact(F.lit(0)))
+    def if_paid(amount: str, name: str) -> Column:
+        return F.when(F.col("is_paid") == 1, money_units(F.col(amount))).otherwise(0).alias(name)
 
     return orders.select(
         "session_id",
         F.col("is_paid").alias("purchased"),
-        if_paid("gross_revenue").alias("gross_revenue"),
-        if_paid("discount_applied").alias("discount"),
-        if_paid("net_revenue").alias("net_revenue"),
-        _status_rank(F.col("order_status")).alias("status_rank"),
+        if_paid("gross_revenue", "gross_units"),
+        if_paid("discount_applied", "discount_units"),
+        if_paid("net_revenue", "net_units"),
+        F.expr(f"int(array_position(array({_STATUSES}), order_status)) AS status_rank"),
     )
 
 
-_FLAGS = ("added_to_cart", "reached_checkout", "payment_attempted", "payment_failed", "purchased")
-_COUNTS = ("products_added", "products_removed")
-_MONEY = ("gross_revenue", "discount", "net_revenue")
+_LARGEST = ("added_to_cart", "reached_checkout", "payment_attempted", "payment_failed", "purchased", "status_rank", "cart_value")
+_SUMMED = ("products_added", "products_removed", "gross_units", "discount_units", "net_units")
 
 
 def session_activity(cart: DataFrame, checkout: DataFrame, orders: DataFrame) -> DataFrame:
@@ -112,10 +99,9 @@ def session_activity(cart: DataFrame, checkout: DataFrame, orders: DataFrame) ->
     """
     parts = [_cart_part(cart), _checkout_part(checkout), _order_part(orders)]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    measures = [F.max(name).alias(name) for name in (*_FLAGS, "status_rank")]
-    measures.append(F.max("cart_value").alias("max_cart_value"))
-    measures += [F.sum(name).alias(name) for name in (*_COUNTS, *_MONEY)]
-    return unique_side(stacked, "session_id", *measures)
+    largest = [F.expr(f"max({name}) AS {name}") for name in _LARGEST]
+    summed = [F.expr(f"sum({name}) AS {name}") for name in _SUMMED]
+    return unique_side(stacked, "session_id", *largest, *summed).withColumnRenamed("cart_value", "max_cart_value")
 
 
 def fct_sessions(raw: RawTables) -> DataFrame:
@@ -128,12 +114,20 @@ def fct_sessions(raw: RawTables) -> DataFrame:
     activity = session_activity(
         valid_cart_actions(raw.cart_actions), valid_checkout_events(raw.checkout_events), stg_orders(raw.orders)
     )
-    joined = visits.join(activity, "session_id", "left")
-    filled: dict[str, Column] = {name: F.coalesce(name, F.lit(0)) for name in _FLAGS}
-    filled |= {name: F.coalesce(name, F.lit(0).cast("bigint")) for name in _COUNTS}
-    filled |= {name: F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in _MONEY}
-    filled["order_status"] = _status_of_rank(F.col("status_rank"))
-    return joined.withColumns(filled).select(*MART_COLUMNS)
+    return visits.join(activity, "session_id", "left").selectExpr(
+        *visits.columns,
+        "coalesce(added_to_cart, 0) AS added_to_cart",
+        "coalesce(products_added, 0L) AS products_added",
+        "coalesce(products_removed, 0L) AS products_removed",
+        "coalesce(reached_checkout, 0) AS reached_checkout",
+        "coalesce(payment_attempted, 0) AS payment_attempted",
+        "coalesce(payment_failed, 0) AS payment_failed",
+        "coalesce(purchased, 0) AS purchased",
+        f"coalesce(gross_units / {UNITS}, 0.0D) AS gross_revenue",
+        f"coalesce(discount_units / {UNITS}, 0.0D) AS discount",
+        f"coalesce(net_units / {UNITS}, 0.0D) AS net_revenue",
+        f"get(array({_STATUSES}), status_rank - 1) AS order_status",
+    )
 
 
 def register_models(spark: SparkSession, raw: RawTables) -> DataFrame:

@@ -30,63 +30,57 @@ def _aov() -> Column:
 def _totals(mart: DataFrame) -> DataFrame:
     """One row with every count and amount the headline reports need. Unused ones are pruned."""
     return mart.agg(
-        F.count(F.lit(1)).alias("product_view_sessions"),
-        F.sum("added_to_cart").alias("add_to_cart_sessions"),
-        F.sum("reached_checkout").alias("checkout_sessions"),
-        F.sum("purchased").alias("purchase_sessions"),
-        # Sessions with a purchase, under the name the reports have always given this number.
-        F.count_if(_bought()).alias("paid_order_lines"),
-        *[exact_sum(F.when(_bought(), F.col(name))).alias(name) for name in ("gross_revenue", "discount", "net_revenue")],
+        F.expr("count(1) AS product_view_sessions"),
+        F.expr("sum(added_to_cart) AS add_to_cart_sessions"),
+        F.expr("sum(reached_checkout) AS checkout_sessions"),
+        F.expr("sum(purchased) AS purchase_sessions"),
+        *_paid_totals(),
     )
 
 
-def _zero_if_empty(totals: DataFrame) -> DataFrame:
-    """Totals of no sessions as zeros."""
-    counts = ("add_to_cart_sessions", "checkout_sessions", "purchase_sessions")
-    money = ("gross_revenue", "discount", "net_revenue")
-    zeros = {name: F.coalesce(name, F.lit(0).cast("bigint")) for name in counts}
-    return totals.withColumns(zeros | {name: F.coalesce(name, F.lit(0.0)) for name in money})
-
-
-def headline(mart: DataFrame) -> DataFrame:
-    """Funnel counts and rates, revenue, average order value and abandoned revenue in one row.
-
-    Rates of nothing are 0. Abandoned sessions stop at 0, abandoned revenue does not.
-    """
-    totals = _zero_if_empty(_totals(mart))
-    views, carts = F.col("product_view_sessions"), F.col("add_to_cart_sessions")
-    checkouts, purchases = F.col("checkout_sessions"), F.col("purchase_sessions")
-    purchase_rate = ratio_or_zero(purchases, checkouts)
-    return totals.withColumns(
-        {
-            "atc_rate": ratio_or_zero(carts, views),
-            "checkout_rate": ratio_or_zero(checkouts, carts),
-            "purchase_rate": purchase_rate,
-            "overall_conversion": ratio_or_zero(purchases, views),
-            "checkout_drop_off": drop_off(purchase_rate),
-            "abandoned_checkout_sessions": at_least_zero(checkouts - purchases),
-            "aov": _aov(),
-            "estimated_abandoned_revenue": (checkouts - purchases) * _aov(),
-        }
-    )
+def _paid_totals() -> list[Column]:
+    amounts = [exact_sum(F.when(_bought(), F.col(name))).alias(name) for name in ("gross_revenue", "discount", "net_revenue")]
+    # Sessions with a purchase, under the name the reports have always given this number.
+    return [F.count_if(_bought()).alias("paid_order_lines"), *amounts]
+
+
+def _purchase_rate() -> Column:
+    return ratio_or_zero(F.col("purchase_sessions"), F.col("checkout_sessions"))
+
+
+def _abandoned() -> Column:
+    return F.col("checkout_sessions") - F.col("purchase_sessions")
+
+
+# Figures derived from the totals. Rates of nothing are 0. Abandoned sessions stop at 0, abandoned revenue does not.
+_DERIVED = {
+    "atc_rate": lambda: ratio_or_zero(F.col("add_to_cart_sessions"), F.col("product_view_sessions")),
+    "checkout_rate": lambda: ratio_or_zero(F.col("checkout_sessions"), F.col("add_to_cart_sessions")),
+    "purchase_rate": _purchase_rate,
+    "overall_conversion": lambda: ratio_or_zero(F.col("purchase_sessions"), F.col("product_view_sessions")),
+    "checkout_drop_off": lambda: drop_off(_purchase_rate()),
+    "abandoned_checkout_sessions": lambda: at_least_zero(_abandoned()),
+    "aov": _aov,
+    "estimated_abandoned_revenue": lambda: _abandoned() * _aov(),
+}
+_FUNNEL = tuple(key for _, key in FUNNEL_STAGES)
+_REVENUE = ("gross_revenue", "discount", "net_revenue", "paid_order_lines")
+
+
+def headline(mart: DataFrame, *names: str) -> DataFrame:
+    """Funnel counts and rates, revenue, average order value and abandoned revenue in one row, zeros if there are none."""
+    totals = _totals(mart).na.fill(0)
+    wanted = names or (*_FUNNEL, *_REVENUE, *_DERIVED)
+    return totals.select(*[_DERIVED[name]().alias(name) if name in _DERIVED else F.col(name) for name in wanted])
 
 
 def funnel_headline(mart: DataFrame) -> DataFrame:
-    return headline(mart).select(
-        *[key for _, key in FUNNEL_STAGES],
-        "atc_rate",
-        "checkout_rate",
-        "purchase_rate",
-        "overall_conversion",
-        "checkout_drop_off",
-        "abandoned_checkout_sessions",
-    )
+    rates = ("atc_rate", "checkout_rate", "purchase_rate", "overall_conversion")
+    return headline(mart, *_FUNNEL, *rates, "checkout_drop_off", "abandoned_checkout_sessions")
 
 
 def revenue_headline(mart: DataFrame) -> DataFrame:
-    return headline(mart).select(
-        "gross_revenue", "discount", "net_revenue", "paid_order_lines", "aov", "estimated_abandoned_revenue"
-    )
+    return headline(mart, *_REVENUE, "aov", "estimated_abandoned_revenue")
 
 
 def funnel_metrics(mart: DataFrame) -> DataFrame:
@@ -113,24 +107,22 @@ def funnel_metrics(mart: DataFrame) -> DataFrame:
 def revenue_metrics(mart: DataFrame) -> DataFrame:
     """Revenue, average order value and abandoned revenue. Amounts of nothing are NULL, abandoned may be negative."""
     totals = mart.agg(
-        F.sum("reached_checkout").alias("checkout_sessions"),
-        F.sum("purchased").alias("purchase_sessions"),
-        F.count_if(_bought()).alias("paid_order_lines"),
-        F.count_distinct(F.when(_bought(), F.col("session_id"))).alias("paid_sessions"),
-        *[exact_sum(F.when(_bought(), F.col(name))).alias(name) for name in ("gross_revenue", "discount", "net_revenue")],
+        F.expr("sum(reached_checkout) AS checkout_sessions"),
+        F.expr("sum(purchased) AS purchase_sessions"),
+        F.expr("count(DISTINCT CASE WHEN purchased = 1 THEN session_id END) AS paid_sessions"),
+        *_paid_totals(),
     )
-    abandoned = F.col("checkout_sessions") - F.col("purchase_sessions")
     return totals.select(
         "checkout_sessions",
         "purchase_sessions",
-        abandoned.alias("abandoned_checkout_sessions"),
+        _abandoned().alias("abandoned_checkout_sessions"),
         "paid_order_lines",
         "paid_sessions",
         "gross_revenue",
         "discount",
         "net_revenue",
         _aov().alias("aov"),
-        (abandoned * _aov()).alias("estimated_abandoned_revenue"),
+        (_abandoned() * _aov()).alias("estimated_abandoned_revenue"),
     )
 
 
@@ -200,7 +192,7 @@ def checkout_scenario(mart: DataFrame, relative_improvement: float = DEFAULT_REL
     current, aov = F.col("purchase_rate"), F.col("aov")
     new = at_most_one(current * F.lit(1.0 + relative_improvement))
     additional = F.col("checkout_sessions") * (new - current)
-    return headline(mart).select(
+    return headline(mart, "purchase_rate", "checkout_sessions", "aov").select(
         current.alias("current_rate"),
         new.alias("new_rate"),
         additional.alias("additional_purchases"),
@@ -216,19 +208,18 @@ def date_bounds(mart: DataFrame) -> DataFrame:
 
 
 def kpi_row(mart: DataFrame) -> DataFrame:
-    return headline(mart).select(
-        F.col("gross_revenue").alias("revenue"),
-        F.col("paid_order_lines").alias("paid_orders"),
-        F.col("product_view_sessions").alias("sessions"),
-        F.col("overall_conversion").alias("conversion"),
-        "aov",
-        "estimated_abandoned_revenue",
-    )
+    headings = {
+        "gross_revenue": "revenue",
+        "paid_order_lines": "paid_orders",
+        "product_view_sessions": "sessions",
+        "overall_conversion": "conversion",
+    }
+    return headline(mart, *headings, "aov", "estimated_abandoned_revenue").withColumnsRenamed(headings)
 
 
 def leakage_alert(mart: DataFrame) -> DataFrame:
     """Whether more than the tolerated share of checkout sessions ends without a purchase."""
     lost = F.col("checkout_drop_off")
-    return headline(mart).select(
+    return headline(mart, "checkout_drop_off").select(
         lost, F.lit(LEAKAGE_ALERT_THRESHOLD).alias("threshold"), (lost > LEAKAGE_ALERT_THRESHOLD).alias("alert")
     )

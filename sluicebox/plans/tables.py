@@ -27,7 +27,8 @@ def funnel_display(mart: DataFrame) -> DataFrame:
         )
         for (label, key), rate in zip(FUNNEL_STAGES, rates, strict=True)
     ]
-    return reports.funnel_headline(mart).select(F.inline(F.array(*rows)))
+    wanted = [key for _, key in FUNNEL_STAGES] + ["atc_rate", "checkout_rate", "purchase_rate"]
+    return reports.headline(mart, *wanted).select(F.inline(F.array(*rows)))
 
 
 def segment_display(mart: DataFrame, dimension: str) -> DataFrame:
