@@ -16,6 +16,7 @@ def spark():
         master="local[8]",
         conf={
             "spark.sql.shuffle.partitions": "8",
+            "spark.default.parallelism": "2",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",

@@ -140,3 +140,17 @@ def test_shuffle_partitions_grow_with_the_input(spark):
     assert partitions_for(100 * tebibyte, at_least=200) == 100_000
     assert size_shuffles(spark, "/root/testdata/sf0.001") == 8
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_job_command_on_an_event_log(spark, tmp_path, capfd):
+    job.main(["/root/testdata/sf0.001", str(tmp_path), "--event-log", "--relative-improvement", "0.5"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    figures = {row[1]: row[2] for row in _csv(f"{tmp_path}/headline_report")[1:]}
+    assert figures["Product-view sessions"] == "257" and figures["Target rate"] == "100.00%"
+    assert read_mart(spark, f"{tmp_path}/fct_sessions").count() == 257
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_one_row_per_session_on_the_event_log(spark, folder):
+    mart = fct_sessions(load_event_log(spark, f"/root/testdata/{folder}"))
+    assert mart.count() == mart.select("session_id").distinct().count()
