@@ -63,24 +63,4 @@ CART_KEY = ("session_id", "timestamp", "action", "product_id")
 # Money is summed as a decimal of this type, so a total does not depend on the order of the rows.
 MONEY_TYPE = "decimal(18,4)"
 
-MART_COLUMNS = (
-    "session_id",
-    "user_id",
-    "first_seen_at",
-    "last_seen_at",
-    "traffic_source",
-    "device",
-    "products_viewed",
-    "added_to_cart",
-    "products_added",
-    "products_removed",
-    "reached_checkout",
-    "payment_attempted",
-    "payment_failed",
-    "purchased",
-    "gross_revenue",
-    "discount",
-    "net_revenue",
-    "order_status",
-)
 MART_DATE = "first_seen_date"

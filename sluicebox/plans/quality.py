@@ -152,9 +152,14 @@ def _invalid() -> Column:
 
 def _values_seen(orders: DataFrame) -> Column:
     """The five alphabetically first invalid statuses as list text. NULL counts as invalid but has no text."""
-    status, quote = F.col("order_status"), F.lit("'")
+    status = F.col("order_status")
+
+    def quoted(value: Column) -> Column:
+        quote = F.when(value.contains("'"), '"').otherwise("'")
+        return F.concat(quote, value, quote)
+
     values = orders.where(_invalid() & status.isNotNull()).select(status).distinct().orderBy(status).limit(5)
-    listed = F.transform(F.array_sort(F.collect_list(status)), lambda value: F.concat(quote, value, quote))
+    listed = F.transform(F.array_sort(F.collect_list(status)), quoted)
     return values.agg(F.concat(F.lit("["), F.array_join(listed, ", "), F.lit("]"))).scalar()
 
 

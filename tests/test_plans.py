@@ -2,17 +2,19 @@
 
 import re
 from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from shop import nested_shop
 from sluicebox.operators.skew import unique_side, with_key_in
 from sluicebox.plans import reports, staging
 from sluicebox.plans.mart import fct_sessions
 from sluicebox.plans.quality import check_duplicate_traffic, check_orphan_orders
 from sluicebox.sources.raw import SCHEMAS, RawTables, load_raw
-from shop import nested_shop
+from sluicebox.sources.sinks import read_mart, write_mart
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -122,7 +124,11 @@ def test_hot_key_of_a_membership_join_is_split(spark, tmp_path):
 
 def test_session_shared_by_a_third_of_all_users_is_split_in_the_mart(spark, tmp_path):
     traffic = _skewed(spark).selectExpr(
-        "session_id", "user_id", "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, id) AS timestamp", "'Meta' AS traffic_source", "'mobile' AS device",
+        "session_id",
+        "user_id",
+        "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, id) AS timestamp",
+        "'Meta' AS traffic_source",
+        "'mobile' AS device",
         "'p' AS product_id_viewed",
     )
     carts = _skewed(spark).selectExpr(
@@ -154,6 +160,26 @@ def test_hot_session_of_orphan_orders_is_split(spark, tmp_path):
         assert check.first().Value == 20_000
 
 
+def test_a_large_day_of_the_stored_mart_is_split_and_a_small_one_is_one_file(spark, tmp_path):
+    traffic = spark.range(60_000).selectExpr(
+        "concat('s', id) AS session_id",
+        "concat('u', id) AS user_id",
+        "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(IF(id % 3 = 0, 0, int(id % 40)), 0, 0, 0) AS timestamp",
+        "'Meta' AS traffic_source",
+        "'mobile' AS device",
+        "concat('p', id) AS product_id_viewed",
+    )
+    traffic.repartition(8).write.parquet(f"{tmp_path}/traffic")
+    empty = [spark.createDataFrame([], SCHEMAS[name]) for name in ("cart_actions", "checkout_events", "orders")]
+    sizes = _SMALL | {"spark__sql__adaptive__advisoryPartitionSizeInBytes": "96k", "spark__sql__shuffle__partitions": "400"}
+    with settings(spark, **sizes):
+        write_mart(fct_sessions(RawTables(spark.read.parquet(f"{tmp_path}/traffic"), *empty)), f"{tmp_path}/mart")
+    files = {day.name: len(list(day.glob("*.parquet"))) for day in Path(f"{tmp_path}/mart").glob("first_seen_date=*")}
+    assert files.pop("first_seen_date=2024-01-01") > 1
+    assert len(files) == 39 and set(files.values()) == {1}
+    assert read_mart(spark, f"{tmp_path}/mart").count() == 60_000
+
+
 def test_unique_side_has_one_row_per_key(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4)], "k string, v int")
     assert sorted(unique_side(df, "k").collect(), key=str) == sorted(df.select("k").distinct().collect(), key=str)

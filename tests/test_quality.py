@@ -42,6 +42,8 @@ def test_invalid_order_status_lists_five_values_and_counts_null(spark):
     df = spark.createDataFrame([(s,) for s in statuses], "order_status string")
     row = quality.check_invalid_order_status(df).first()
     assert (row.Value, row.Detail) == (8, "Values seen: ['b', 'c', 'd', 'e', 'f']")
+    apostrophe = spark.createDataFrame([("it's",)], "order_status string")
+    assert quality.check_invalid_order_status(apostrophe).first().Detail == "Values seen: [\"it's\"]"
     valid = quality.check_invalid_order_status(df.where("order_status = 'paid'")).first()
     assert (valid.Value, valid.Status, valid.Detail) == (0, "PASS", "Values seen: []")
 
