@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import exact_dedup
+from sluicebox.llm import exact_dedup, packing
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.mark_copies(docs).drop("text")
@@ -29,6 +36,7 @@ FROM normal
 """
 
 QUERIES = {
+    "op1_harmonic_packing": op1_harmonic_packing,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
