@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import exact_dedup, packing
+from sluicebox.llm import exact_dedup, near_dedup, packing
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -35,9 +35,14 @@ SELECT doc_id,
 FROM normal
 """
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.mark_near_copies(_table(spark, sf_dir, "documents"), words=4)
+
+
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }
 
 ORACLE_SQL = {
