@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import exact_dedup, near_dedup, packing
+from sluicebox.llm import exact_dedup, mixing, near_dedup, packing
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -18,6 +18,11 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.interleave(docs).drop("text")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.mark_copies(docs).drop("text")
@@ -41,6 +46,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op7_pfair_mixing": op7_pfair_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
