@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import exact_dedup, mixing, near_dedup, packing
+from sluicebox.llm import exact_dedup, mixing, near_dedup, packing, warc
+from sluicebox.llm.work import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -18,6 +19,12 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.page_records(spark, path)
+
+
 def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.interleave(docs).drop("text")
@@ -46,6 +53,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op3_warc_segments": op3_warc_segments,
     "op7_pfair_mixing": op7_pfair_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
