@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import exact_dedup, mixing, near_dedup, packing, warc
+from sluicebox.llm import exact_dedup, mixing, near_dedup, packing, vector_dedup, warc
 from sluicebox.llm.work import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +25,10 @@ def op3_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(spark, path)
 
 
+def op6_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.mark_near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.interleave(docs).drop("text")
@@ -54,6 +58,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op3_warc_segments": op3_warc_segments,
+    "op6_sorted_projections": op6_sorted_projections,
     "op7_pfair_mixing": op7_pfair_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
