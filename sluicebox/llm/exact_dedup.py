@@ -32,7 +32,8 @@ def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row"))
     text, row_id = normalised(F.col(f"row.`{text_col}`")), F.col(f"row.`{id_col}`")
-    rows = rows.withColumn("sha", F.sha2(text, 256))
+    # Together, so that a text is normalised once for both.
+    rows = rows.withColumns({"sha": F.sha2(text, 256), "splitter": F.substring(text, 1, SPLITTER_CHARS)})
     large = (
         rows.groupBy("sha")
         .agg(F.min(row_id).alias("large_keep"), F.count("*").alias("large_size"))
@@ -41,12 +42,8 @@ def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .limit(CUT_PER_PARTITION * partitions)
     )
     # At most CUT_PER_PARTITION rows for each partition, whatever the input.
-    salted = rows.join(F.broadcast(large), "sha", "left").withColumns(
-        {
-            "splitter": F.substring(text, 1, SPLITTER_CHARS),
-            "salt": F.when(F.col("large_size").isNotNull(), F.pmod(F.xxhash64(row_id), F.lit(partitions))).otherwise(0),
-        }
-    )
+    salt = F.when(F.col("large_size").isNotNull(), F.pmod(F.xxhash64(row_id), F.lit(partitions))).otherwise(0)
+    salted = rows.join(F.broadcast(large), "sha", "left").withColumn("salt", salt)
     placed = salted.repartitionByRange("splitter", "sha", "salt").withColumn("text", text)
     # The partitioning above serves this window too, so it sorts without a second shuffle.
     equal = Window.partitionBy("splitter", "sha", "salt", "text").orderBy(row_id.asc_nulls_last())
