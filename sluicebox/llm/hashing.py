@@ -78,7 +78,7 @@ class Words:
         return len(self.start)
 
     def hashes(self, prefix: int | None = None) -> np.ndarray:
-        """A hash of each word, or of its first ``prefix`` bytes."""
+        """A hash of each word, or of its first ``prefix`` bytes and whether it is longer."""
         if self._sums is None:
             size = len(self.raw)
             sums = np.zeros(size + 1, dtype=np.uint64)
@@ -86,4 +86,4 @@ class Words:
             self._sums = sums
         end = self.end if prefix is None else np.minimum(self.end, self.start + prefix)
         found = (self._sums[end] - self._sums[self.start]) * _power_table(_BASE_INVERSE, len(self.raw) + 1)[self.start]
-        return mixed(found + (end - self.start).astype(np.uint64))
+        return mixed(found + (end - self.start).astype(np.uint64) + ((end < self.end).astype(np.uint64) << np.uint64(32)))

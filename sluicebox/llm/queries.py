@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluicebox.llm import exact_dedup, mixing, near_dedup, packing, vector_dedup, warc
+from sluicebox.llm import classify, exact_dedup, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
 from sluicebox.llm.work import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,12 +20,31 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op2_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    scored = toxicity.score(docs, toxicity.fit_on(docs, _table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        classify.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "toxic",
+    )
+
+
 def op3_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "archives")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
     return warc.page_records(spark, path)
 
 
+def op4_quality_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit_on(docs, _table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", classify.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
 def op6_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.mark_near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -57,7 +77,9 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op2_toxicity_cnn": op2_toxicity_cnn,
     "op3_warc_segments": op3_warc_segments,
+    "op4_quality_bytes": op4_quality_bytes,
     "op6_sorted_projections": op6_sorted_projections,
     "op7_pfair_mixing": op7_pfair_mixing,
     "op9_exact_dedup": op9_exact_dedup,
