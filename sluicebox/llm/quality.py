@@ -20,7 +20,7 @@ from sluicebox.llm.hashing import Words, batches
 STEP = 4
 BLOCK = 64
 DIMENSIONS = 6
-FILTERS = 16
+FILTERS = 8
 # A byte, a byte of a repeated word, and what fills up the last block.
 SYMBOLS = 513
 FILL = 512
@@ -28,8 +28,8 @@ FILL = 512
 # characters. A sixth of them is kept for calibration.
 SAMPLE_ROWS = 9_000
 SAMPLE_CHARS = 20_000
-STEPS = 1_500
-BATCH = 32
+STEPS = 1_000
+BATCH = 16
 RATE = 0.01
 # The score from which a text counts as good.
 THRESHOLD = 0.7
