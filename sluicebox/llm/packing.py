@@ -10,10 +10,12 @@ lengths are powers of two and need no padding either.
 from __future__ import annotations
 
 import functools
+import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -23,7 +25,7 @@ from pyspark.sql import types as T
 CAPACITY = 2048
 END_ID = 1
 # Words of a task's tokenizer whose ids are kept; beyond it the store is emptied.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 # Texts of these characters can be tokenised word by word: their lower case is that of each character alone, nothing in
 # them composes, and their white space is the tokenizer's. Others go through the tokenizer as a whole.
 _PLAIN = r"\t\n\r\x20-\x7e\u00a0-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf"
@@ -35,42 +37,56 @@ class WordTokenizer:
     """Token ids of a text as little-endian unsigned 32-bit numbers; each distinct word is encoded once."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.other = re.compile(f"[^{_PLAIN}]")
         # The tokenizer's own split into words; it drops white space and puts no token across two of them.
-        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-        self.ends = {i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith("</w>")}
+        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _parts_of(self, word: str) -> list[str]:
+        """The tokenizer's split of a word in lower case, in short for letters with at most one other sign behind."""
+        word = word.lower()
+        if word.isalpha():
+            return [word]
+        if word[-1] in ",.!?;:" and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.split.findall(word)
+
     def _add_parts(self, parts: Iterable[str]) -> None:
         """Encode distinct parts together, and cut the ids where a token ends a part."""
-        new = sorted(parts)
-        for at in range(0, len(new), 64):
-            some = new[at : at + 64]
-            found, ids = [], []
-            for i in self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids:
-                ids.append(i)
-                if i in self.ends:
-                    found.append(_packed(ids))
-                    ids = []
-            if ids or len(found) != len(some):
-                found = [self._whole(part) for part in some]
-            self.parts.update(zip(some, found, strict=True))
+        new = list(parts)
+        lines = [new[at : at + 64] for at in range(0, len(new), 64)]
+        encoded = self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
+        for line, found in zip(lines, encoded, strict=True):
+            ids = np.array(found.ids, dtype="<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) != len(line) or ends[-1] != ids.nbytes:
+                self.parts.update((part, self._whole(part)) for part in line)
+                continue
+            raw, start = ids.tobytes(), 0
+            for part, end in zip(line, ends.tolist(), strict=True):
+                self.parts[part] = raw[start:end]
+                start = end
 
     def _add_words(self, words: set[str]) -> None:
         if len(self.words) > CACHED_WORDS:
             self.words, self.parts = {}, {}
-        split = {word: self.split.findall(word.lower()) for word in words if "<|" not in word}
-        self._add_parts(set().union(*split.values()).difference(self.parts))
+        split = {word: self._parts_of(word) for word in words if "<|" not in word}
+        self._add_parts({part for parts in split.values() for part in parts if part not in self.parts})
+        get = self.parts.__getitem__
         for word, parts in split.items():
-            self.words[word] = b"".join([self.parts[part] for part in parts])
+            self.words[word] = get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts))
         for word in words.difference(split):
             self.words[word] = self._whole(word)
 
@@ -89,7 +105,7 @@ class WordTokenizer:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join([i.to_bytes(4, "little") for i in ids])
+    return np.array(ids, dtype="<u4").tobytes()
 
 
 @functools.cache
