@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.llm import classify, exact_dedup, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
+from sluicebox.llm import classify, exact_dedup, language, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
 from sluicebox.llm.work import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -45,6 +45,12 @@ def op4_quality_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", classify.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+def op5_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    found = language.identify(docs, language.fit_on(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.mark_near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +86,7 @@ QUERIES = {
     "op2_toxicity_cnn": op2_toxicity_cnn,
     "op3_warc_segments": op3_warc_segments,
     "op4_quality_bytes": op4_quality_bytes,
+    "op5_language_centroids": op5_language_centroids,
     "op6_sorted_projections": op6_sorted_projections,
     "op7_pfair_mixing": op7_pfair_mixing,
     "op9_exact_dedup": op9_exact_dedup,
