@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.llm import classify, exact_dedup, language, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
+from sluicebox.llm import chat, classify, exact_dedup, language, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
 from sluicebox.llm.work import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +60,10 @@ def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.interleave(docs).drop("text")
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_tool_calls(*chat.calls_of(_table(spark, sf_dir, "conversations")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.mark_copies(docs).drop("text")
@@ -89,6 +93,7 @@ QUERIES = {
     "op5_language_centroids": op5_language_centroids,
     "op6_sorted_projections": op6_sorted_projections,
     "op7_pfair_mixing": op7_pfair_mixing,
+    "op8_tool_calls": op8_tool_calls,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
