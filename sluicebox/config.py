@@ -55,12 +55,38 @@ REPORT_ORDER = (
 NEGATIVE_REVENUE_DETAIL = "Orders with gross_revenue < 0"
 DUPLICATE_ORDER_IDS_DETAIL = "Order IDs should be globally unique"
 PURCHASE_BEFORE_CHECKOUT_DETAIL = "Impossible sequence: order timestamp precedes checkout"
+# Headings and sentences of the display tables.
+FUNNEL_HEADINGS = ("Stage", "Sessions", "Conv from prev", "Drop-off")
+SEGMENT_HEADINGS = {
+    "sessions": "Sessions",
+    "orders": "Orders",
+    "revenue": "Revenue",
+    "atc_rate": "ATC rate",
+    "checkout_rate": "Checkout rate",
+    "purchase_rate": "Purchase rate",
+    "conversion_rate": "Conversion",
+    "aov": "AOV",
+}
+KPI_HEADINGS = ("Revenue", "Paid orders", "Sessions", "Conversion", "AOV", "Est. abandoned $")
+SCENARIO_HEADINGS = ("Current rate", "Target rate", "Additional purchases", "Incremental revenue")
+LEAKAGE_MESSAGE = ("Critical checkout leakage: ", " of checkout sessions do not convert.")
+DEVICE_MESSAGE = ("Mobile checkout→purchase rate is ", ", compared with ", " on desktop.")
+FUNNEL_FIGURES = (
+    "Product-view sessions",
+    "Add-to-cart sessions",
+    "Checkout sessions",
+    "Purchase sessions",
+    "Overall conversion",
+    "Checkout drop-off",
+)
+REVENUE_FIGURES = ("Gross revenue", "Net revenue", "AOV", "Estimated abandoned $")
 # End of fixed values.
 
 TRAFFIC_KEY = ("session_id", "timestamp", "product_id_viewed")
 CART_KEY = ("session_id", "timestamp", "action", "product_id")
 
-# Money is summed as a decimal of this type, so a total does not depend on the order of the rows.
-MONEY_TYPE = "decimal(18,4)"
+# Amounts below this size are summed as decimals of this type, see functions.money. A sum of them has ten digits more.
+OUTSIDE_MONEY = 1e18
+MONEY_TYPE = "decimal(28,10)"
 
 MART_DATE = "first_seen_date"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicebox.config import ORDER_STATUSES
-from sluicebox.functions.money import UNITS, money_units
+from sluicebox.functions.money import exact, outside, total
 from sluicebox.operators.skew import unique_side
 from sluicebox.plans.staging import (
     stg_cart_actions,
@@ -73,23 +73,25 @@ def _checkout_part(checkout: DataFrame) -> DataFrame:
 
 
 def _order_part(orders: DataFrame) -> DataFrame:
-    """Order lines with the amounts of paid ones in money units, which a shuffle carries in half the space of decimals."""
-
-    def if_paid(amount: str, name: str) -> Column:
-        return F.when(F.col("is_paid") == 1, money_units(F.col(amount))).otherwise(0).alias(name)
-
+    """Order lines with the amounts of paid ones, as decimals and what no decimal holds."""
+    paid = F.col("is_paid") == 1
+    amounts = [
+        F.when(paid, part(F.col(amount))).alias(f"{name}_{part.__name__}")
+        for name, amount in _AMOUNTS.items()
+        for part in (exact, outside)
+    ]
     return orders.select(
         "session_id",
         F.col("is_paid").alias("purchased"),
-        if_paid("gross_revenue", "gross_units"),
-        if_paid("discount_applied", "discount_units"),
-        if_paid("net_revenue", "net_units"),
+        *amounts,
         F.expr(f"int(array_position(array({_STATUSES}), order_status)) AS status_rank"),
     )
 
 
 _LARGEST = ("added_to_cart", "reached_checkout", "payment_attempted", "payment_failed", "purchased", "status_rank", "cart_value")
-_SUMMED = ("products_added", "products_removed", "gross_units", "discount_units", "net_units")
+# By the mart's column: the column of an order line.
+_AMOUNTS = {"gross_revenue": "gross_revenue", "discount": "discount_applied", "net_revenue": "net_revenue"}
+_SUMMED = ("products_added", "products_removed", *[f"{name}_{part}" for name in _AMOUNTS for part in ("exact", "outside")])
 
 
 def session_activity(cart: DataFrame, checkout: DataFrame, orders: DataFrame) -> DataFrame:
@@ -114,19 +116,20 @@ def fct_sessions(raw: RawTables) -> DataFrame:
     activity = session_activity(
         valid_cart_actions(raw.cart_actions), valid_checkout_events(raw.checkout_events), stg_orders(raw.orders)
     )
-    return visits.join(activity, "session_id", "left").selectExpr(
+    amounts = [
+        F.coalesce(total(F.col(f"{name}_exact"), F.col(f"{name}_outside")), F.lit(0.0)).alias(name) for name in _AMOUNTS
+    ]
+    return visits.join(activity, "session_id", "left").select(
         *visits.columns,
-        "coalesce(added_to_cart, 0) AS added_to_cart",
-        "coalesce(products_added, 0L) AS products_added",
-        "coalesce(products_removed, 0L) AS products_removed",
-        "coalesce(reached_checkout, 0) AS reached_checkout",
-        "coalesce(payment_attempted, 0) AS payment_attempted",
-        "coalesce(payment_failed, 0) AS payment_failed",
-        "coalesce(purchased, 0) AS purchased",
-        f"coalesce(gross_units / {UNITS}, 0.0D) AS gross_revenue",
-        f"coalesce(discount_units / {UNITS}, 0.0D) AS discount",
-        f"coalesce(net_units / {UNITS}, 0.0D) AS net_revenue",
-        f"get(array({_STATUSES}), status_rank - 1) AS order_status",
+        F.expr("coalesce(added_to_cart, 0) AS added_to_cart"),
+        F.expr("coalesce(products_added, 0L) AS products_added"),
+        F.expr("coalesce(products_removed, 0L) AS products_removed"),
+        F.expr("coalesce(reached_checkout, 0) AS reached_checkout"),
+        F.expr("coalesce(payment_attempted, 0) AS payment_attempted"),
+        F.expr("coalesce(payment_failed, 0) AS payment_failed"),
+        F.expr("coalesce(purchased, 0) AS purchased"),
+        *amounts,
+        F.expr(f"get(array({_STATUSES}), status_rank - 1) AS order_status"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicebox.config import DEFAULT_RELATIVE_IMPROVEMENT, FUNNEL_STAGES, LEAKAGE_ALERT_THRESHOLD, SEGMENT_DIMENSIONS
-from sluicebox.functions.money import exact, exact_sum
+from sluicebox.functions.money import exact_sum
 from sluicebox.functions.rates import (
     at_least_zero,
     at_most_one,
@@ -69,7 +69,9 @@ _REVENUE = ("gross_revenue", "discount", "net_revenue", "paid_order_lines")
 
 def headline(mart: DataFrame, *names: str) -> DataFrame:
     """Funnel counts and rates, revenue, average order value and abandoned revenue in one row, zeros if there are none."""
-    totals = _totals(mart).na.fill(0)
+    # Only NULL becomes 0; a total that is not a number stays one.
+    totals = _totals(mart)
+    totals = totals.select(*[F.coalesce(name, F.lit(0)).alias(name) for name in totals.columns])
     wanted = names or (*_FUNNEL, *_REVENUE, *_DERIVED)
     return totals.select(*[_DERIVED[name]().alias(name) if name in _DERIVED else F.col(name) for name in wanted])
 
@@ -154,7 +156,7 @@ def daily_trend(mart: DataFrame) -> DataFrame:
 def daily_performance(mart: DataFrame) -> DataFrame:
     """The daily trend with every stage rate and the average order value, NULL on days without a purchase."""
     bought = F.when(_bought(), F.col("gross_revenue"))
-    aov = ratio_or_null(F.sum(exact(bought)), F.count(bought))
+    aov = ratio_or_null(exact_sum(bought), F.count(bought))
     measures = _group_measures()
     names = ("sessions", "orders", "revenue", "aov", "atc_rate", "checkout_rate", "purchase_rate", "conversion_rate")
     return _by_day(mart, {name: measures.get(name, aov) for name in names})
@@ -187,17 +189,23 @@ def device_comparison(mart: DataFrame) -> DataFrame:
     return both.select("mobile_purchase_rate", "desktop_purchase_rate")
 
 
-def checkout_scenario(mart: DataFrame, relative_improvement: float = DEFAULT_RELATIVE_IMPROVEMENT) -> DataFrame:
-    """What a relative rise of the purchase rate would bring. The raised rate stops at 1."""
-    current, aov = F.col("purchase_rate"), F.col("aov")
+def scenario_figures(relative_improvement: float) -> dict[str, Column]:
+    """The scenario's figures from those of the headline."""
+    current = F.col("purchase_rate")
     new = at_most_one(current * F.lit(1.0 + relative_improvement))
     additional = F.col("checkout_sessions") * (new - current)
-    return headline(mart, "purchase_rate", "checkout_sessions", "aov").select(
-        current.alias("current_rate"),
-        new.alias("new_rate"),
-        additional.alias("additional_purchases"),
-        (additional * aov).alias("incremental_revenue"),
-    )
+    return {
+        "current_rate": current,
+        "new_rate": new,
+        "additional_purchases": additional,
+        "incremental_revenue": additional * F.col("aov"),
+    }
+
+
+def checkout_scenario(mart: DataFrame, relative_improvement: float = DEFAULT_RELATIVE_IMPROVEMENT) -> DataFrame:
+    """What a relative rise of the purchase rate would bring. The raised rate stops at 1."""
+    figures = scenario_figures(relative_improvement)
+    return headline(mart, "purchase_rate", "checkout_sessions", "aov").select(*[figure.alias(name) for name, figure in figures.items()])
 
 
 def date_bounds(mart: DataFrame) -> DataFrame:
