@@ -11,7 +11,7 @@ from sluicebox.plans.mart import fct_sessions
 from sluicebox.plans.quality import run_all_checks
 from sluicebox.plans.tables import headline_report
 from sluicebox.plans.validation import raw_funnel_validation
-from sluicebox.session import build_session, size_shuffles
+from sluicebox.session import build_session, unsized_shuffles
 from sluicebox.sources.event_log import load_event_log
 from sluicebox.sources.raw import RawTables, load_raw
 from sluicebox.sources.sinks import read_mart, write_mart, write_report_csv
@@ -39,9 +39,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--relative-improvement", type=float, default=DEFAULT_RELATIVE_IMPROVEMENT)
     options = parser.parse_args(arguments)
     spark = build_session("sluicebox job")
-    size_shuffles(spark, options.in_dir)
     load = load_event_log if options.event_log else load_raw
     run(spark, load(spark, options.in_dir), options.out_dir, options.relative_improvement).show(truncate=False)
+    unsized_shuffles(spark)
 
 
 if __name__ == "__main__":

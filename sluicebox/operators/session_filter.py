@@ -35,6 +35,8 @@ def session_filter(
         day_after = F.lit(str(end_date)).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
         conditions.append(F.col("first_seen_at") < day_after)
     for column, choices in (("traffic_source", sources), ("device", devices)):
+        if isinstance(choices, str):
+            raise TypeError(f"{column} takes a list of values, not the text {choices!r}")
         wanted = [choice for choice in choices or () if choice]
         if wanted:
             conditions.append(F.col(column).isin(wanted))
@@ -57,7 +59,7 @@ def filter_sessions(
         if start_date is not None:
             kept = kept.where(F.col(MART_DATE) >= F.lit(str(start_date)).cast("timestamp_ntz").cast("date"))
         if end_date is not None:
-            last = F.lit(str(end_date)).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+            last = F.lit(str(end_date)).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY - INTERVAL 1 MICROSECOND")
             kept = kept.where(F.col(MART_DATE) <= last.cast("date"))
     return kept
 
@@ -70,5 +72,7 @@ def dashboard_filter(
 ) -> DataFrame:
     """Filter by what is picked on a dashboard: no choice means every option, half a date range the full range."""
     start, end = date_range if len(date_range) == 2 else (None, None)
+    if isinstance(sources, str) or isinstance(devices, str):
+        raise TypeError("sources and devices are lists of values, not text")
     picked_sources, picked_devices = list(sources), list(devices)
     return filter_sessions(mart, start, end, picked_sources or SOURCE_OPTIONS, picked_devices or DEVICE_OPTIONS)

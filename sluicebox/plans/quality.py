@@ -42,7 +42,7 @@ from sluicebox.config import (
 from sluicebox.functions.display import grouped_count, percent
 from sluicebox.functions.rates import flag, threshold_status
 from sluicebox.operators.skew import unique_side
-from sluicebox.sources.raw import RawTables
+from sluicebox.sources.raw import RawTables, key_columns
 
 # Verdicts
 
@@ -84,9 +84,20 @@ def _missing_source_verdict() -> Column:
     return _row(MISSING_SOURCE, share * 100, threshold_status(share, MISSING_SOURCE_LIMITS), detail, "percent")
 
 
+def _unless_unreadable(verdict: Column, unreadable: Column, what: str) -> Column:
+    """The verdict, or a FAIL without a value if some values could not be read."""
+    detail = F.concat(F.lit("Check error: "), grouped_count(unreadable), F.lit(f" values are no {what}"))
+    parts = [verdict[name] for name in REPORT_COLUMNS]
+    failed = [parts[0], F.lit(None).cast("double"), parts[2], F.lit("FAIL"), detail]
+    return F.struct(
+        *[F.when(unreadable > 0, b).otherwise(a).alias(name) for name, a, b in zip(REPORT_COLUMNS, parts, failed, strict=True)]
+    )
+
+
 def _negative_revenue_verdict() -> Column:
     count = F.col("negative_rows")
-    return _row(NEGATIVE_REVENUE, count, _fail_if_any(count), F.lit(NEGATIVE_REVENUE_DETAIL))
+    verdict = _row(NEGATIVE_REVENUE, count, _fail_if_any(count), F.lit(NEGATIVE_REVENUE_DETAIL))
+    return _unless_unreadable(verdict, F.col("unreadable_amounts"), "numbers")
 
 
 def _invalid_status_verdict(orders: DataFrame) -> Column:
@@ -94,9 +105,9 @@ def _invalid_status_verdict(orders: DataFrame) -> Column:
     return _row(INVALID_STATUS, F.col("invalid_rows"), status, F.concat(F.lit("Values seen: "), _values_seen(orders)))
 
 
-def _orphan_orders_verdict(checkout: DataFrame) -> Column:
+def _orphan_orders_verdict() -> Column:
     # Without any checkout data nothing can be said about orders.
-    known = checkout.select(F.lit(1).alias("one")).limit(1).agg(F.count("one")).scalar() > 0
+    known = F.col("checkout_rows") > 0
     share = _share("orphan_order_ids", "order_ids")
     return _row(
         ORPHAN_ORDERS,
@@ -119,7 +130,8 @@ def _purchase_before_checkout_verdict() -> Column:
     count = F.col("early_sessions")
     compared = (F.col("order_rows") > 0) & (F.col("checkout_rows") > 0)
     detail = F.when(compared, PURCHASE_BEFORE_CHECKOUT_DETAIL).otherwise("")
-    return _row(PURCHASE_BEFORE_CHECKOUT, count, _fail_if_any(count), detail)
+    verdict = _row(PURCHASE_BEFORE_CHECKOUT, count, _fail_if_any(count), detail)
+    return _unless_unreadable(verdict, F.col("unreadable_times"), "times")
 
 
 # Measurements
@@ -132,7 +144,7 @@ def _total(expression: Column) -> Column:
 
 def _rows_and_copies(df: DataFrame, keys: tuple[str, ...], rows: str, copies: str) -> DataFrame:
     """Row count, and how many rows repeat the key of another one. NULL keys are equal."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.groupBy(*key_columns(df, keys)).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(_total(F.col("n")).alias(rows), _total(F.col("n") - 1).alias(copies))
 
 
@@ -142,8 +154,20 @@ def _missing_source(traffic: DataFrame) -> DataFrame:
     )
 
 
+def _unreadable(column: str, kind: str) -> Column:
+    """Whether a value is there but not of its kind, as can be in a column of text."""
+    return F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
+
+
 def _negative() -> Column:
-    return F.col("gross_revenue") < 0
+    return F.col("gross_revenue").try_cast("double") < 0
+
+
+def _amounts(negative: str = "negative", unreadable: str = "unreadable") -> list[Column]:
+    return [
+        F.count_if(_negative()).alias(negative),
+        F.count_if(_unreadable("gross_revenue", "double")).alias(unreadable),
+    ]
 
 
 def _invalid() -> Column:
@@ -181,7 +205,7 @@ def _orders_by_id(orders: DataFrame, checkout: DataFrame) -> DataFrame:
     marked = orders.join(sessions, F.col(session).eqNullSafe(F.col("checkout_session")), "left")
     return marked.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(_negative()).alias("negative"),
+        *_amounts(),
         F.count_if(_invalid()).alias("invalid"),
         F.max(flag(F.col("known").isNull())).alias("orphan"),
     )
@@ -189,23 +213,35 @@ def _orders_by_id(orders: DataFrame, checkout: DataFrame) -> DataFrame:
 
 def _orphan_orders(orders: DataFrame, checkout: DataFrame) -> DataFrame:
     by_id = _orders_by_id(orders, checkout).where(F.col("order_id").isNotNull())
-    return by_id.agg(F.count(F.lit(1)).alias("order_ids"), _total(F.col("orphan")).alias("orphan_order_ids"))
+    measured = by_id.agg(F.count(F.lit(1)).alias("order_ids"), _total(F.col("orphan")).alias("orphan_order_ids"))
+    return _side_by_side(measured, checkout.limit(1).agg(F.count(F.lit(1)).alias("checkout_rows")))
+
+
+def _side_by_side(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Two measurements of one row each, with different columns, as one row."""
+    both = one.unionByName(other, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in both.columns])
 
 
 def _first_times(orders: DataFrame, checkout: DataFrame) -> DataFrame:
     """Sessions whose first order is earlier than their first checkout event, from one shuffle of both tables."""
     never = F.lit(None).cast("timestamp_ntz")
-    ordered = orders.select("session_id", F.col("timestamp").alias("ordered"), never.alias("checked_out"), F.lit(1).alias("order"))
-    checked = checkout.select("session_id", never, "timestamp", F.lit(0))
+    time, unreadable = F.col("timestamp").try_cast("timestamp_ntz"), flag(_unreadable("timestamp", "timestamp_ntz"))
+    ordered = orders.select(
+        "session_id", time.alias("ordered"), never.alias("checked_out"), F.lit(1).alias("order"), unreadable.alias("unreadable")
+    )
+    checked = checkout.select("session_id", never, time, F.lit(0), unreadable)
     sessions = ordered.union(checked).groupBy("session_id").agg(
         F.min("ordered").alias("first_order"),
         F.min("checked_out").alias("first_checkout"),
         F.sum("order").alias("orders"),
+        F.sum("unreadable").alias("unreadable"),
         F.count(F.lit(1)).alias("n"),
     )
     early = F.col("session_id").isNotNull() & (F.col("first_order") < F.col("first_checkout"))
     return sessions.agg(
         F.count_if(early).alias("early_sessions"),
+        _total(F.col("unreadable")).alias("unreadable_times"),
         _total(F.col("orders")).alias("order_rows"),
         _total(F.col("n") - F.col("orders")).alias("checkout_rows"),
     )
@@ -231,7 +267,7 @@ def check_missing_source(traffic: DataFrame) -> DataFrame:
 
 
 def check_negative_revenue(orders: DataFrame) -> DataFrame:
-    return _report(orders.agg(F.count_if(_negative()).alias("negative_rows")), _negative_revenue_verdict())
+    return _report(orders.agg(*_amounts("negative_rows", "unreadable_amounts")), _negative_revenue_verdict())
 
 
 def check_invalid_order_status(orders: DataFrame) -> DataFrame:
@@ -240,7 +276,7 @@ def check_invalid_order_status(orders: DataFrame) -> DataFrame:
 
 
 def check_orphan_orders(orders: DataFrame, checkout: DataFrame) -> DataFrame:
-    return _report(_orphan_orders(orders, checkout), _orphan_orders_verdict(checkout))
+    return _report(_orphan_orders(orders, checkout), _orphan_orders_verdict())
 
 
 def check_orphan_cart(cart: DataFrame, traffic: DataFrame) -> DataFrame:
@@ -278,10 +314,10 @@ def _browsing_checks(raw: RawTables) -> DataFrame:
 
     Both are counted by their duplicate key, then the counts by session.
     """
-    traffic = raw.traffic_logs.groupBy(*TRAFFIC_KEY).agg(
+    traffic = raw.traffic_logs.groupBy(*key_columns(raw.traffic_logs, TRAFFIC_KEY)).agg(
         F.count(F.lit(1)).alias("views"), F.count_if(F.col("traffic_source").isNull()).alias("no_source")
     )
-    cart = raw.cart_actions.groupBy(*CART_KEY).agg(F.count(F.lit(1)).alias("n"))
+    cart = raw.cart_actions.groupBy(*key_columns(raw.cart_actions, CART_KEY)).agg(F.count(F.lit(1)).alias("n"))
     zero = F.lit(0).cast("bigint")
     views = traffic.select(
         "session_id", "views", (F.col("views") - 1).alias("view_copies"), "no_source", zero.alias("n"), zero.alias("copies")
@@ -303,29 +339,30 @@ def _browsing_checks(raw: RawTables) -> DataFrame:
 
 
 def _order_checks(raw: RawTables) -> DataFrame:
-    """The four checks on order rows from one pass over the orders."""
+    """The four checks on order rows from one pass over the orders, and the sequence check from one over both tables.
+
+    The invalid values that the report lists take another pass over the orders.
+    """
     named = F.col("order_id").isNotNull()
     measured = _orders_by_id(raw.orders, raw.checkout_events).agg(
         _total(F.col("n")).alias("order_rows"),
         _total(F.col("n") - 1).alias("order_id_copies"),
         _total(F.col("negative")).alias("negative_rows"),
+        _total(F.col("unreadable")).alias("unreadable_amounts"),
         _total(F.col("invalid")).alias("invalid_rows"),
         F.count_if(named).alias("order_ids"),
         _total(F.when(named, F.col("orphan"))).alias("orphan_order_ids"),
     )
     return _report(
-        measured,
+        _side_by_side(measured.drop("order_rows"), _first_times(raw.orders, raw.checkout_events)),
         _negative_revenue_verdict(),
         _invalid_status_verdict(raw.orders),
-        _orphan_orders_verdict(raw.checkout_events),
+        _orphan_orders_verdict(),
         _duplicate_order_ids_verdict(),
+        _purchase_before_checkout_verdict(),
     )
 
 
-def _sequence_check(raw: RawTables) -> DataFrame:
-    return check_purchase_before_checkout(raw.orders, raw.checkout_events)
-
-
 def _error_row(spark_df: DataFrame, metric: str, error: Exception) -> DataFrame:
     row = (metric, None, "count", "FAIL", f"Check error: {str(error).splitlines()[0]}")
     schema = "Metric string, Value double, Unit string, Status string, Detail string"
@@ -335,14 +372,13 @@ def _error_row(spark_df: DataFrame, metric: str, error: Exception) -> DataFrame:
 def run_all_checks(raw: RawTables) -> DataFrame:
     """The nine checks as one report in fixed order.
 
-    A check that cannot run on these tables, for want of a column say, is reported as a FAIL row and leaves the others
-    as they are.
+    A check that cannot run on these tables, for want of a column or because values are not of their kind, is reported as
+    a FAIL row and leaves the others as they are.
     """
     singles = _single_checks(raw)
     groups = (
         (_browsing_checks, (DUPLICATE_TRAFFIC, DUPLICATE_CART, MISSING_SOURCE, ORPHAN_CART)),
-        (_order_checks, (NEGATIVE_REVENUE, INVALID_STATUS, ORPHAN_ORDERS, DUPLICATE_ORDER_IDS)),
-        (_sequence_check, (PURCHASE_BEFORE_CHECKOUT,)),
+        (_order_checks, (NEGATIVE_REVENUE, INVALID_STATUS, ORPHAN_ORDERS, DUPLICATE_ORDER_IDS, PURCHASE_BEFORE_CHECKOUT)),
     )
     parts: list[DataFrame] = []
     for group, metrics in groups:

@@ -9,9 +9,19 @@ from sluicebox.config import CART_ACTIONS, CART_KEY, CHECKOUT_STATUSES, ORDER_ST
 from sluicebox.functions.rates import flag
 from sluicebox.operators.dedup import keep_first
 from sluicebox.operators.skew import with_key_in
+from sluicebox.sources.raw import key_columns
 
 def _event_time() -> Column:
-    return F.col("timestamp").cast("timestamp_ntz").alias("timestamp")
+    # NULL for text that is no time; the quality report counts such rows.
+    return F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp")
+
+
+def _nanos(df: DataFrame, key: tuple[str, ...]) -> tuple[str, ...]:
+    return key_columns(df, key)[len(key) :]
+
+
+def _merged(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    return keep_first(df, key_columns(df, key)).drop(*_nanos(df, key))
 
 
 def stg_traffic(traffic_logs: DataFrame) -> DataFrame:
@@ -23,18 +33,19 @@ def stg_traffic(traffic_logs: DataFrame) -> DataFrame:
         F.coalesce("traffic_source", F.lit(UNKNOWN_SOURCE)).alias("traffic_source"),
         "device",
         "product_id_viewed",
+        *_nanos(traffic_logs, TRAFFIC_KEY),
     )
-    return keep_first(typed, TRAFFIC_KEY)
+    return _merged(typed, TRAFFIC_KEY)
 
 
 def valid_cart_actions(cart_actions: DataFrame) -> DataFrame:
     known = cart_actions.where(F.col("action").isin(*CART_ACTIONS))
-    return known.select("session_id", "user_id", _event_time(), "action", "product_id")
+    return known.select("session_id", "user_id", _event_time(), "action", "product_id", *_nanos(known, CART_KEY))
 
 
 def stg_cart_actions(cart_actions: DataFrame) -> DataFrame:
     """Valid cart events. A retried event counts once; the same product at another time is another event."""
-    return keep_first(valid_cart_actions(cart_actions), CART_KEY)
+    return _merged(valid_cart_actions(cart_actions), CART_KEY)
 
 
 def valid_checkout_events(checkout_events: DataFrame) -> DataFrame:
@@ -45,7 +56,7 @@ def valid_checkout_events(checkout_events: DataFrame) -> DataFrame:
         "user_id",
         _event_time(),
         "checkout_status",
-        F.col("cart_value").cast("double").alias("cart_value"),
+        F.col("cart_value").try_cast("double").alias("cart_value"),
     )
 
 
@@ -59,8 +70,8 @@ def stg_checkout_events(checkout_events: DataFrame, traffic_logs: DataFrame) ->
 
 def stg_orders(orders: DataFrame) -> DataFrame:
     """Order lines with a valid status and non-negative revenue, with net revenue and a paid flag."""
-    valid = orders.where(F.col("order_status").isin(*ORDER_STATUSES) & (F.col("gross_revenue") >= 0))
-    gross, discount = F.col("gross_revenue").cast("double"), F.col("discount_applied").cast("double")
+    gross, discount = F.col("gross_revenue").try_cast("double"), F.col("discount_applied").try_cast("double")
+    valid = orders.where(F.col("order_status").isin(*ORDER_STATUSES) & (gross >= 0))
     return valid.select(
         "order_id",
         "session_id",

@@ -43,14 +43,31 @@ def partitions_for(input_bytes: int, at_least: int) -> int:
     return max(at_least, min(ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS))
 
 
-def size_shuffles(spark: SparkSession, path: str) -> int:
-    """Start shuffles with partitions in proportion to the files below ``path``.
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Holds the number of partitions that was set here, to tell it from one set by the user.
+_SIZED = "sluicebox.shuffle.sized"
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Start shuffles with partitions in proportion to the files of some tables; the loaders call this.
 
     Only file sizes are read. Adaptive execution merges the partitions that turn out small, so a high start costs little,
-    while too few would spill. A number of partitions set by the user is kept as the least.
+    while too few would spill. The number of shuffle partitions set by the user is kept as the least, and an initial
+    number set by the user is left alone. Each call replaces what the last one set, see ``unsized_shuffles``.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    own = spark.conf.get(_SIZED, None)
+    if spark.conf.get(_INITIAL, None) not in (None, own):
+        return int(spark.conf.get(_INITIAL))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([*paths])
     input_bytes = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first().bytes
     partitions = partitions_for(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    spark.conf.set(_INITIAL, str(partitions))
+    spark.conf.set(_SIZED, str(partitions))
     return partitions
+
+
+def unsized_shuffles(spark: SparkSession) -> None:
+    """Take back what ``size_shuffles`` has set."""
+    if spark.conf.get(_SIZED, None):
+        spark.conf.unset(_INITIAL)
+        spark.conf.unset(_SIZED)

@@ -1,16 +1,29 @@
 """Raw shop tables derived from a generic ``events`` table.
 
-Every event becomes a row of exactly one table. The remainders below give rows their attributes, and a second copy or
+Every event becomes a row of exactly one table; one of an unknown type, or of none, is traffic. The remainders below give rows their attributes, and a second copy or
 a defect where the rules ask for one; none of them drops a row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from sluicebox.sources.raw import RawTables
-
-EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+from pyspark.sql import types as T
+
+from sluicebox.session import size_shuffles
+from sluicebox.sources.raw import RawTables, read_parquet
+
+EVENTS_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+# Event types with a table of their own.
+_CART_TYPE, _CHECKOUT_TYPE, _ORDER_TYPE = "click", "error", "purchase"
 
 _BASE = (
     "event_id",
@@ -68,7 +81,9 @@ _ORDERS = (
 
 
 def load_event_log(spark: SparkSession, directory: str) -> RawTables:
-    return shop_tables(spark.read.schema(EVENTS_SCHEMA).parquet(f"{directory}/events.parquet"))
+    path = f"{directory}/events.parquet"
+    size_shuffles(spark, path)
+    return shop_tables(read_parquet(spark, path, EVENTS_SCHEMA))
 
 
 def _with_copies(events: DataFrame, every: int) -> DataFrame:
@@ -78,9 +93,10 @@ def _with_copies(events: DataFrame, every: int) -> DataFrame:
 
 def shop_tables(events: DataFrame) -> RawTables:
     base = events.selectExpr(*_BASE)
+    other = f"event_type IS NULL OR event_type NOT IN ('{_CART_TYPE}', '{_CHECKOUT_TYPE}', '{_ORDER_TYPE}')"
     return RawTables(
-        traffic_logs=_with_copies(base.where("event_type IN ('view', 'signup')"), 83).selectExpr(*_TRAFFIC),
-        cart_actions=_with_copies(base.where("event_type = 'click'"), 56).selectExpr(*_CART),
-        checkout_events=base.where("event_type = 'error'").selectExpr(*_CHECKOUT),
-        orders=base.where("event_type = 'purchase'").selectExpr(*_ORDERS),
+        traffic_logs=_with_copies(base.where(other), 83).selectExpr(*_TRAFFIC),
+        cart_actions=_with_copies(base.where(f"event_type = '{_CART_TYPE}'"), 56).selectExpr(*_CART),
+        checkout_events=base.where(f"event_type = '{_CHECKOUT_TYPE}'").selectExpr(*_CHECKOUT),
+        orders=base.where(f"event_type = '{_ORDER_TYPE}'").selectExpr(*_ORDERS),
     )

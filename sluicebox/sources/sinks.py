@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicebox.config import MART_DATE
 
+_PUBLISHED = "published"
+
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
@@ -19,13 +23,21 @@ def write_report_csv(report: DataFrame, path: str) -> None:
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
-    """Store the session mart by day of the first event.
+    """Store the session mart by day of the first event, as a new version that is published when it is complete.
 
-    Rebalancing gathers each day into a few files of the advisory size, and splits a day that is larger than that.
+    Rebalancing gathers each day into a few files of the advisory size, and splits a day that is larger than that. A job
+    that fails leaves the last version as it was, and readers of an older version can go on; older versions are not
+    deleted.
     """
+    version = f"version-{uuid.uuid4().hex}"
     dated = mart.withColumn(MART_DATE, F.to_date("first_seen_at"))
-    dated.hint("rebalance", F.col(MART_DATE)).write.mode("overwrite").partitionBy(MART_DATE).parquet(path)
+    dated.hint("rebalance", F.col(MART_DATE)).write.partitionBy(MART_DATE).parquet(f"{path}/{version}")
+    published = mart.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+    published.coalesce(1).write.mode("append").parquet(f"{path}/{_PUBLISHED}")
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The version of the mart that was published last."""
+    published = spark.read.schema("version string, published_at timestamp").parquet(f"{path}/{_PUBLISHED}")
+    last = published.agg(F.max(F.struct("published_at", "version")).alias("last")).first().last
+    return spark.read.parquet(f"{path}/{last.version}")

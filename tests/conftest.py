@@ -6,7 +6,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import pytest
 
-from sluicebox.session import build_session
+from sluicebox.session import build_session, unsized_shuffles
 
 
 @pytest.fixture(scope="session")
@@ -25,3 +25,9 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def shuffles_sized_by_one_test_only(spark):
+    yield
+    unsized_shuffles(spark)

@@ -7,6 +7,7 @@ import pytest
 import oracle_queries
 from compare import rows_of_duckdb, rows_of_spark
 from shop import cart, checkout, order, shop, view
+from sluicebox.plans import reports
 from sluicebox.plans.mart import fct_sessions, register_models
 from sluicebox.sources.raw import SCHEMAS
 from sluicebox.sources.sql import query
@@ -114,6 +115,35 @@ def test_repeated_order_lines_all_count(spark):
     assert row.gross_revenue == 20.4
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    ("amounts", "expected"),
+    [
+        ([1e15, 0.5], 1e15 + 0.5),
+        ([1.23456], 1.23456),
+        ([0.00004] * 1000, 0.04),
+        ([float("nan"), 1.0], float("nan")),
+        ([float("inf"), 1.0], float("inf")),
+        ([1e25], 1e25),
+    ],
+    ids=str,
+)
+def test_amounts_are_neither_cut_nor_dropped(spark, ansi, amounts, expected):
+    """Totals of the mart, the headline, the days and the segments are what a sum of doubles gives, up to its rounding."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        raw = shop(spark, [view("s1"), view("s2")], orders=[order("s1", gross=a, order_id=f"o{i}") for i, a in enumerate(amounts)])
+        mart = fct_sessions(raw)
+        row = mart.where("session_id = 's1'").first()
+        found = [row.gross_revenue, row.net_revenue, reports.headline(mart).first().aov]
+        found += [reports.revenue_metrics(mart).first().gross_revenue, reports.daily_trend(mart).first().revenue]
+        found += [reports.segment_performance(mart, "device").first().revenue]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert row.purchased == 1 and found == pytest.approx([expected] * len(found), rel=1e-15, nan_ok=True)
+
+
 def test_two_users_in_one_session_give_two_rows(spark):
     mart = fct_sessions(shop(spark, [view("s1", user="u1"), view("s1", user="u2", product="p2")], orders=[order("s1")]))
     assert [(r.user_id, r.purchased) for r in mart.orderBy("user_id").collect()] == [("u1", 1), ("u2", 1)]

@@ -50,7 +50,7 @@ def stored(spark, tmp_path_factory):
     return load_raw(spark, folder)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point.shop_queries()))
 def test_no_cross_join_no_python_and_no_hand_set_broadcast(spark, name):
     query = entry_point.queries()[name](spark, SF_DIR)
     plan = query._jdf.queryExecution().optimizedPlan().toString() + plan_of(query)
@@ -174,7 +174,7 @@ def test_a_large_day_of_the_stored_mart_is_split_and_a_small_one_is_one_file(spa
     sizes = _SMALL | {"spark__sql__adaptive__advisoryPartitionSizeInBytes": "96k", "spark__sql__shuffle__partitions": "400"}
     with settings(spark, **sizes):
         write_mart(fct_sessions(RawTables(spark.read.parquet(f"{tmp_path}/traffic"), *empty)), f"{tmp_path}/mart")
-    files = {day.name: len(list(day.glob("*.parquet"))) for day in Path(f"{tmp_path}/mart").glob("first_seen_date=*")}
+    files = {day.name: len(list(day.glob("*.parquet"))) for day in Path(f"{tmp_path}/mart").glob("version-*/first_seen_date=*")}
     assert files.pop("first_seen_date=2024-01-01") > 1
     assert len(files) == 39 and set(files.values()) == {1}
     assert read_mart(spark, f"{tmp_path}/mart").count() == 60_000

@@ -1,40 +1,44 @@
 from datetime import datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from shop import cart, checkout, order, shop, view
+import oracle_queries
+from shop import cart, checkout, nested_shop, order, shop, view
 from sluicebox.config import REPORT_COLUMNS, REPORT_ORDER
 from sluicebox.functions.rates import threshold_status
 from sluicebox.plans import quality
 from sluicebox.plans.validation import raw_funnel_validation
 from sluicebox.sources.event_log import load_event_log
-from sluicebox.sources.raw import RawTables
+from sluicebox.sources.raw import RawTables, load_raw
 
 
 def test_duplicate_cart(spark):
-    t1, t2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
-    rows = [("s1", t1, "add_to_cart", "p1"), ("s1", t1, "add_to_cart", "p1"), ("s2", t2, "add_to_cart", "p2")]
-    df = spark.createDataFrame(rows, ["session_id", "timestamp", "action", "product_id"])
-    assert quality.check_duplicate_cart(df).first().Value == 1
+    noon, later = datetime(2025, 6, 7, 12), datetime(2025, 6, 7, 12, 0, 1)
+    tripled = [("visit", noon, "remove_from_cart", "lamp")] * 3
+    others = [("visit", later, "remove_from_cart", "lamp"), ("visit", noon, "add_to_cart", "lamp"), (None, noon, None, None)]
+    df = spark.createDataFrame(tripled + others, ["session_id", "timestamp", "action", "product_id"])
+    row = quality.check_duplicate_cart(df).first()
+    assert (row.Value, row.Detail) == (2, "33.33% of cart rows")
 
 
 def test_missing_source(spark):
-    df = spark.createDataFrame([("Meta",), (None,), (None,), ("Google",)], "traffic_source string")
+    df = spark.range(1250).selectExpr("IF(id % 25 = 7, NULL, concat('source', id % 3)) AS traffic_source")
     row = quality.check_missing_source(df).first()
-    assert (row.Value, row.Unit, row.Status, row.Detail) == (50.0, "percent", "FAIL", "2 rows with NULL source")
+    assert (row.Value, row.Unit, row.Status, row.Detail) == (4.0, "percent", "WARNING", "50 rows with NULL source")
 
 
 def test_negative_revenue(spark):
-    df = spark.createDataFrame([(10.0,), (-5.0,), (3.0,), (None,)], "gross_revenue double")
+    df = spark.range(-4, 4).selectExpr("IF(id = 3, NULL, id / 8) AS gross_revenue")
     row = quality.check_negative_revenue(df).first()
-    assert (row.Value, row.Status) == (1, "FAIL")
+    assert (row.Value, row.Status) == (4, "FAIL")
 
 
 def test_invalid_order_status(spark):
-    df = spark.createDataFrame([("paid",), ("unknwon",), ("refunded",)], "order_status string")
+    df = spark.range(400).selectExpr("CASE id WHEN 9 THEN 'PAID' WHEN 99 THEN 'lost' ELSE 'cancelled' END AS order_status")
     row = quality.check_invalid_order_status(df).first()
-    assert (row.Value, row.Status, row.Detail) == (1, "FAIL", "Values seen: ['unknwon']")
+    assert (row.Value, row.Status, row.Detail) == (2, "WARNING", "Values seen: ['PAID', 'lost']")
 
 
 def test_invalid_order_status_lists_five_values_and_counts_null(spark):
@@ -49,8 +53,9 @@ def test_invalid_order_status_lists_five_values_and_counts_null(spark):
 
 
 def test_duplicate_order_ids(spark):
-    df = spark.createDataFrame([("o1",), ("o1",), ("o2",), (None,), (None,)], "order_id string")
-    assert quality.check_duplicate_order_ids(df).first().Value == 2
+    df = spark.range(30).selectExpr("CASE WHEN id < 4 THEN 'first' WHEN id < 6 THEN NULL ELSE concat('n', id) END AS order_id")
+    row = quality.check_duplicate_order_ids(df).first()
+    assert (row.Value, row.Status) == (4, "FAIL")
 
 
 def test_duplicate_traffic(spark):
@@ -154,6 +159,49 @@ def test_a_check_that_cannot_run_becomes_a_fail_row(spark):
     assert rows["Duplicate traffic rows"].Status == rows["Negative revenue"].Status == "PASS"
 
 
+def test_values_of_another_kind_fail_their_check_only(spark):
+    raw = shop(spark, [view("s1")], [cart("s1")], [checkout("s1")], [order("s1", gross=-1.0), order("s2")])
+    mistyped = raw.orders.withColumns({"gross_revenue": F.lit("12,50"), "timestamp": F.lit("yesterday")})
+    broken = RawTables(raw.traffic_logs, raw.cart_actions, raw.checkout_events, mistyped)
+    expected = {row.Metric: tuple(row) for row in quality.run_all_checks(raw).collect()}
+    rows = [tuple(row) for row in quality.run_all_checks(broken).collect()]
+    assert [row[0] for row in rows] == list(REPORT_ORDER) and rows == _singles(broken)
+    for row in rows:
+        if row[0] in ("Negative revenue", "Purchase before checkout"):
+            assert row[1] is None and row[3] == "FAIL" and row[4].startswith("Check error: 2 values are no ")
+        else:
+            assert row == expected[row[0]]
+
+
+def test_report_reads_checkout_twice_and_orders_three_times(spark, tmp_path):
+    for name, df in nested_shop(spark).items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    plan = quality.run_all_checks(load_raw(spark, str(tmp_path)))._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Relation [" in line]
+    assert sum("cart_value" in line for line in scans) <= 2
+    assert sum("gross_revenue" in line for line in scans) <= 3
+
+
+@pytest.mark.parametrize("check", ["dq_orphan_orders", "dq_orphan_cart", "dq_purchase_before_checkout", "dq_duplicate_order_ids"])
+def test_checks_with_null_sessions_equal_sql(spark, tmp_path, check):
+    raw = shop(
+        spark,
+        [view("s1"), view(None)],
+        [cart(None), cart("s1"), cart("s9")],
+        [checkout("s1"), checkout(None)],
+        [order(None, order_id="a"), order("s1", order_id="b"), order("s7", order_id="c")],
+    )
+    single = dict(zip(quality.REPORT_ORDER, quality._single_checks(raw).values(), strict=True))
+    con = duckdb.connect()
+    names = {"traffic_logs": "traffic_logs", "cart_actions": "cart_actions", "checkout_events": "checkout_events", "orders": "shop_orders"}
+    for name, df in raw.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        con.execute(f"CREATE VIEW {names[name]} AS SELECT * FROM read_parquet('{tmp_path}/{name}/*.parquet')")
+    expected = con.execute(oracle_queries._CHECKS[check]).fetchone()
+    con.close()
+    assert tuple(single[expected[0]]().first()) == expected
+
+
 def test_raw_validation(spark):
     raw = shop(
         spark,

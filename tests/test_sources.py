@@ -5,14 +5,17 @@ from pathlib import Path
 import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from shop import cart, checkout, nested_shop, order, shop, view
-from sluicebox import job
-from sluicebox.operators.session_filter import filter_sessions
+from sluicebox import job, session
+from sluicebox.operators.session_filter import dashboard_filter, filter_sessions
 from sluicebox.plans import reports
 from sluicebox.plans.mart import fct_sessions
-from sluicebox.session import partitions_for, size_shuffles
-from sluicebox.sources.event_log import load_event_log
+from sluicebox.plans.quality import check_duplicate_traffic
+from sluicebox.plans.staging import stg_traffic
+from sluicebox.session import partitions_for, size_shuffles, unsized_shuffles
+from sluicebox.sources.event_log import EVENTS_SCHEMA, load_event_log, shop_tables
 from sluicebox.sources.raw import SCHEMAS, load_raw, read_parquet
 from sluicebox.sources.sinks import read_mart, write_mart, write_parquet, write_report_csv
 from sluicebox.sources.sql import query, run_sql_file
@@ -95,7 +98,7 @@ def test_stored_mart_is_the_mart_and_filters_skip_partitions(spark, tmp_path):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
     assert "first_seen_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
-    assert sorted(p.name for p in Path(f"{tmp_path}/mart").glob("first_seen_date=*")) == [
+    assert sorted(p.name for p in Path(f"{tmp_path}/mart").glob("version-*/first_seen_date=*")) == [
         "first_seen_date=2024-01-01",
         "first_seen_date=2024-01-02",
         "first_seen_date=2024-01-03",
@@ -139,12 +142,86 @@ def test_shuffle_partitions_grow_with_the_input(spark):
     assert partitions_for(tebibyte, at_least=200) == 4096
     assert partitions_for(100 * tebibyte, at_least=200) == 100_000
     assert size_shuffles(spark, "/root/testdata/sf0.001") == 8
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    unsized_shuffles(spark)
+
+
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def test_loaders_size_shuffles_by_the_tables_they_read(spark, tmp_path, monkeypatch):
+    """Other files of the folder do not count, each load replaces the last number, and one set by hand stays."""
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1_000)
+    for name, df in nested_shop(spark).items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    load_raw(spark, str(tmp_path))
+    sized = int(spark.conf.get(INITIAL))
+    assert sized > 8
+    (tmp_path / "other.bin").write_bytes(b"x" * 1_000_000)
+    load_raw(spark, str(tmp_path))
+    assert int(spark.conf.get(INITIAL)) == sized
+    load_event_log(spark, "/root/testdata/sf0.01")
+    assert int(spark.conf.get(INITIAL)) > sized
+    unsized_shuffles(spark)
+    assert spark.conf.get(INITIAL, None) is None
+    spark.conf.set(INITIAL, "33")
+    load_raw(spark, str(tmp_path))
+    unsized_shuffles(spark)
+    assert spark.conf.get(INITIAL) == "33"
+    spark.conf.unset(INITIAL)
+
+
+def test_events_of_unknown_types_are_traffic(spark):
+    rows = [(i, datetime(2024, 1, 1), i, kind, 1.0, "{k: 1}") for i, kind in enumerate(["view", "refund", None, "click"], 1)]
+    raw = shop_tables(spark.createDataFrame(rows, EVENTS_SCHEMA))
+    assert [df.count() for _, df in raw.items()] == [3, 1, 0, 0]
+
+
+def test_events_within_a_microsecond_are_no_copies(spark, tmp_path):
+    frame = pd.DataFrame([view("s1"), view("s1"), view("s1")])
+    frame["timestamp"] = pd.to_datetime([1_704_103_200_000_000_001, 1_704_103_200_000_000_002, 1_704_103_200_000_000_002])
+    frame.to_parquet(tmp_path / "traffic_logs.parquet", index=False)
+    traffic = read_parquet(spark, f"{tmp_path}/traffic_logs.parquet", SCHEMAS["traffic_logs"])
+    staged = stg_traffic(traffic)
+    assert staged.count() == 2 and "timestamp_nanos" not in staged.columns
+    assert check_duplicate_traffic(traffic).first().Value == 1
+
+
+def test_a_failed_write_leaves_the_last_mart(spark, tmp_path):
+    mart = fct_sessions(shop(spark, [view("a")]))
+    write_mart(mart, f"{tmp_path}/mart")
+    broken = mart.withColumn("first_seen_at", F.raise_error(F.lit("broken")).cast("timestamp_ntz"))
+    with pytest.raises(Exception, match="broken"):
+        write_mart(broken, f"{tmp_path}/mart")
+    assert [row.session_id for row in read_mart(spark, f"{tmp_path}/mart").collect()] == ["a"]
+    write_mart(fct_sessions(shop(spark, [view("b")])), f"{tmp_path}/mart")
+    assert [row.session_id for row in read_mart(spark, f"{tmp_path}/mart").collect()] == ["b"]
+
+
+def test_filters_take_lists_and_no_text(spark):
+    mart = fct_sessions(shop(spark, [view("a")]))
+    for build in (lambda: filter_sessions(mart, sources="Meta"), lambda: dashboard_filter(mart, devices="mobile")):
+        with pytest.raises(TypeError):
+            build()
+
+
+def test_date_filters_read_the_days_that_can_match(spark, tmp_path):
+    views = [view(f"s{day}{hour}", f"2024-01-0{day} {hour}:00:00") for day in (1, 2, 3) for hour in ("01", "23")]
+    write_mart(fct_sessions(shop(spark, views)), f"{tmp_path}/mart")
+    stored = read_mart(spark, f"{tmp_path}/mart")
+
+    def days(start, end):
+        kept = filter_sessions(stored, start, end)
+        kept.collect()
+        plan = kept._jdf.queryExecution().executedPlan()
+        scan = plan.collectLeaves().head()
+        return scan.metrics().apply("numPartitions").value(), kept.count()
+
+    assert days("2024-01-02", "2024-01-02") == (1, 2)
+    assert days("2024-01-02 12:00:00", "2024-01-02 12:00:00") == (2, 2)
 
 
 def test_job_command_on_an_event_log(spark, tmp_path, capfd):
     job.main(["/root/testdata/sf0.001", str(tmp_path), "--event-log", "--relative-improvement", "0.5"])
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     figures = {row[1]: row[2] for row in _csv(f"{tmp_path}/headline_report")[1:]}
     assert figures["Product-view sessions"] == "257" and figures["Target rate"] == "100.00%"
     assert read_mart(spark, f"{tmp_path}/fct_sessions").count() == 257
