@@ -79,7 +79,7 @@ def schedule(blocks: DataFrame, parts: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def _scheduled(
-    docs: DataFrame, weights: dict[str, int], other_parts: int, block_chars: int, id_col: str, source_col: str, text_col: str
+    docs: DataFrame, weights: dict[str, int], other_parts: int, block_chars: int, id_col: str, source_col: str, chars: Column
 ) -> DataFrame:
     """The input as struct ``row`` with the result columns."""
     if min([*weights.values(), other_parts]) < 1 or block_chars < 1:
@@ -90,7 +90,7 @@ def _scheduled(
         {
             "mix": _group(F.col(f"row.`{source_col}`").cast("string"), weights),
             "key": F.coalesce(F.md5(row_id.cast("string")), F.lit("")),
-            "chars": F.coalesce(F.length(F.col(f"row.`{text_col}`").cast("string")), F.lit(0)).cast("long") + 1,
+            "chars": F.coalesce(chars, F.lit(0)).cast("long") + 1,
         }
     ).withColumn("cell", F.substring("key", 1, CELL_DIGITS))
     cells = rows.groupBy("mix", "cell").agg(F.sum("chars").alias("chars"))
@@ -126,6 +126,7 @@ def interleave(
     id_col: str = "doc_id",
     source_col: str = "source",
     text_col: str = "text",
+    chars_col: str | None = None,
 ) -> DataFrame:
     """Every row with ``mix_group``, ``block``, ``slot`` and ``start``; ordered by slot and start, the rows are the mixture.
 
@@ -133,8 +134,10 @@ def interleave(
     ``block`` counts the blocks of a group and ``start`` its characters before the document. NULL and empty texts have
     only the one character that ends a document. Rows without an id come first in their group; of repeated rows each
     has a place. Columns of the input with the name of a result column are replaced. An empty table gives no rows.
+    ``chars_col`` names a column with the lengths of the texts, if the texts themselves are not to be moved.
     """
-    found = _scheduled(docs, WEIGHTS if weights is None else weights, other_parts, block_chars, id_col, source_col, text_col)
+    chars = F.col(f"row.`{chars_col}`") if chars_col else F.length(F.col(f"row.`{text_col}`").cast("string"))
+    found = _scheduled(docs, WEIGHTS if weights is None else weights, other_parts, block_chars, id_col, source_col, chars)
     others = [F.col(f"row.`{name}`").alias(name) for name in docs.columns if name not in RESULT]
     return found.select(*others, *RESULT)
 
@@ -149,5 +152,6 @@ def mixture(
     text_col: str = "text",
 ) -> DataFrame:
     """The rows of the input, with its columns, in the order of the mixture: its files, read by name, are in that order."""
-    found = _scheduled(docs, WEIGHTS if weights is None else weights, other_parts, block_chars, id_col, source_col, text_col)
+    chars = F.length(F.col(f"row.`{text_col}`").cast("string"))
+    found = _scheduled(docs, WEIGHTS if weights is None else weights, other_parts, block_chars, id_col, source_col, chars)
     return found.repartitionByRange("slot", "start").sortWithinPartitions("slot", "start").select("row.*")

@@ -56,8 +56,8 @@ def op6_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.interleave(docs).drop("text")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("chars"))
+    return mixing.interleave(docs, chars_col="chars").drop("chars")
 
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
