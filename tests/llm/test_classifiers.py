@@ -1,0 +1,123 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from sluicebox.llm import classify, language, quality, queries, toxicity
+from sluicebox.llm.hashing import Words
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+def in_part(doc, mod, rest):
+    return zlib.crc32(str(doc).encode()) % mod == rest
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id")
+    return {row.doc_id: row for row in docs.collect()}
+
+
+@pytest.mark.parametrize(("name", "label", "threshold", "least"), [("op2_toxicity_cnn", "toxic", 0.3, 0.95), ("op4_quality_bytes", "quality", 0.7, 0.98)])
+def test_held_out_accuracy(spark, labelled, name, label, threshold, least):
+    rows = queries.QUERIES[name](spark, SF_DIR).collect()
+    assert len(rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    for row in rows:
+        assert 0 <= row.score <= 1 and row.predicted == (row.score >= threshold) and row.held_out == in_part(row.doc_id, 4, 2)
+    held = [(row.predicted, labelled[row.doc_id][label]) for row in rows if row.held_out and row.doc_id in labelled]
+    assert len(held) > 500
+    assert np.mean([predicted == actual for predicted, actual in held]) >= least
+    rare = 1 if label == "toxic" else 0
+    assert np.mean([predicted == rare for predicted, actual in held if actual == rare]) >= 0.8
+
+
+def test_language_held_out_accuracy(spark):
+    docs = {row.doc_id: row for row in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rows = queries.op5_language_centroids(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(docs)
+    assert all(row.held_out == in_part(row.doc_id, 5, 0) and 0 <= row.score <= 1 for row in rows)
+    held = [row.lang_pred == docs[row.doc_id].lang for row in rows if row.held_out and docs[row.doc_id].lang]
+    assert len(held) > 100 and np.mean(held) > 0.98
+
+
+def test_only_rows_of_the_right_part_are_learned_from(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
+    labels = spark.range(400).selectExpr("id AS doc_id", "int(id % 2) AS toxic")
+    sample = classify.labelled_sample(docs, labels, "toxic", 1000, 100)
+    assert sorted(row.id for row in sample) == [i for i in range(400) if not in_part(i, 4, 2)]
+    assert len(classify.labelled_sample(docs, labels, "toxic", 50, 100)) == 50
+    odd = labels.union(spark.createDataFrame([(1, 0), (None, 1), (2, 7), (3, None), (999, 1)], "doc_id long, toxic int"))
+    assert len(classify.labelled_sample(docs.union(docs), odd, "toxic", 1000, 100)) == len(sample)
+    assert classify.labelled_sample(docs.limit(0), labels, "toxic", 10, 10) == []
+
+
+def test_scores_do_not_depend_on_the_texts_around():
+    texts = ["good words here", None, "", "bad " * 9000, "a", "some bad thing", " bad"]
+    toxic = toxicity.fit(["all good here"] * 60 + ["this is bad", "bad"] * 30, [0] * 60 + [1] * 60, ["en"] * 120)
+    fine = quality.fit(["all good here and there"] * 60 + ["###!!! ###", "!!"] * 30, [1] * 60 + [0] * 60)
+    for model in (toxic, fine):
+        together = model.scores(texts)
+        assert together == pytest.approx([model.scores([text])[0] for text in texts], abs=1e-6)
+        assert model.scores([]).tolist() == []
+    assert toxic.scores(["this is bad " + "good " * 20_000])[0] > 0.9 > 0.3 > toxic.scores(["all good here"])[0]
+    assert fine.scores(["###!!! ###"])[0] < 0.7 <= fine.scores(["all good here and there"])[0]
+
+
+def test_models_without_both_labels():
+    for fit in (lambda t, y: toxicity.fit(t, y, [None] * len(t)), quality.fit):
+        for labels in ([], [1, 1], [0]):
+            scores = fit(["x"] * len(labels), labels).scores(["a", None])
+            assert ((scores > 0) & (scores < 1)).all()
+
+
+def test_thresholds_by_language(spark):
+    model = toxicity.fit(["fine"] * 9 + ["vile"], [0] * 9 + [1], ["en"] * 10)
+    model.thresholds = {"xx": 0.0, "yy": 1.0}
+    rows = [(1, "xx", "fine"), (2, "yy", "vile"), (3, None, None), (3, None, None), (None, "zz", "")]
+    df = spark.createDataFrame([(*row, 5, "kept") for row in rows], "doc_id long, lang string, text string, toxic int, score string")
+    scored = toxicity.score(df, model)
+    assert scored.columns == ["doc_id", "lang", "text", "score", "toxic"]
+    assert [row.toxic for row in scored.orderBy("doc_id").collect()] == [False, True, False, False, False]
+    kept = toxicity.drop_toxic(df, model)
+    assert kept.columns == df.columns and kept.count() == 4 and {row.score for row in kept.collect()} == {"kept"}
+    assert toxicity.score(df.limit(0), model).collect() == [] and toxicity.score(df.drop("lang"), model).count() == 5
+    assert quality.score(df, quality.fit([], [])).columns == ["doc_id", "lang", "text", "toxic", "score"]
+
+
+def test_best_threshold():
+    labels = np.array([0] * 50 + [1] * 50)
+    assert 0.4 < classify.best_threshold(np.array([0.2] * 50 + [0.8] * 50), labels, 0.1) < 0.6
+    assert classify.best_threshold(np.array([0.2] * 90 + [0.8] * 10), np.array([0] * 90 + [1] * 10), 0.1) == 0.1
+
+
+def test_quality_symbols_mark_repeated_words():
+    found, blocks = quality.symbols([b"ab AB c c", b"", b"c"])
+    assert blocks.tolist() == [1, 1, 1]
+    assert found[:9].tolist() == [97, 98, 32, 65 + 256, 66 + 256, 32, 99, 32, 99 + 256]
+    assert found[64] == quality.FILL and found[128] == 99
+    assert len(Words([b"x"])) == 1
+
+
+def test_language_edges(spark):
+    rows = [(i, "the cat and the dog " * (1 + i % 3), "en") for i in range(40)] + [(i, "der Hund und die Katze", "de") for i in range(40, 80)]
+    rows += [(100, None, "en"), (101, "", None), (102, "123 !?", "de"), (103, "the and " * 30_000, None), (None, "und die", "de"), (104, "ÜBER", None), (104, "ÜBER", None)]
+    df = spark.createDataFrame([(*row, 1.5) for row in rows], "doc_id long, text string, lang string, score double")
+    found = {row.doc_id: row for row in language.identify(df, language.fit_on(df)).collect()}
+    assert {found[i].lang_pred for i in range(40)} == {"en"} and {found[i].lang_pred for i in range(40, 80)} == {"de"}
+    for i in (100, 101, 102):
+        assert (found[i].lang_pred, found[i].score, found[i].rejected) == ("und", 0.0, True)
+    assert found[103].lang_pred == "en" and found[None].lang_pred == "de" and found[104].lang_pred in ("en", "de")
+    assert found[104].rejected and not found[0].rejected
+    empty = language.fit_on(df.limit(0))
+    assert {row.lang_pred for row in language.identify(df, empty).collect()} == {"und"}
+    assert language.identify(df.limit(0), empty).collect() == []
+
+
+def test_several_centroids_of_a_language():
+    draw = np.random.default_rng(2)
+    groups = np.eye(8)[[0, 3, 6]].repeat(20, axis=0) + 0.05 * draw.random((60, 8))
+    x = groups / np.linalg.norm(groups, axis=1)[:, None]
+    found = language.cluster(x, 3)
+    assert sorted(found.argmax(axis=1).tolist()) == [0, 3, 6]
+    assert ((x @ found.T).max(axis=1) > 0.98).all()
