@@ -146,11 +146,17 @@ def fit_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{language_col}`").cast("string").alias("lang")
     ).where(learned_from(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     weights = _rarity(rows)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     short = rows.where(F.length("text") <= SAMPLE_CHARS)
-    # Spark keeps the first rows of each task before it shuffles the ids.
-    sample = short.select("id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_ROWS)
-    sample = sample.select("id", "lang").distinct()
+    # One row for each language. Hashes below a bound drawn from the counts hold about twice the sample, so that a common
+    # language does not come together in one task; the lowest of them are taken.
+    totals = {row.lang: row.n for row in short.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not totals:
+        return LanguageModel(weights, np.zeros((0, BUCKETS)), [], np.zeros(0, dtype=np.int64), np.zeros(0))
+    share = F.create_map(*[F.lit(x) for lang, n in totals.items() for x in (lang, 2 * SAMPLE_ROWS / n)])[F.col("lang")]
+    hashed = short.select("id", "lang", F.xxhash64("id").alias("hash"))
+    low = hashed.where(F.col("hash") / F.lit(2.0**64) + 0.5 < share)
+    order = Window.partitionBy("lang").orderBy("hash", "id")
+    sample = low.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_ROWS).select("id", "lang").distinct()
     found = short.join(F.broadcast(sample), ["id", "lang"]).dropDuplicates(["id", "lang"]).collect()
     centroids, owners, least, languages = [], [], [], []
     for language in sorted({row.lang for row in found}):
