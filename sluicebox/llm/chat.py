@@ -1,7 +1,8 @@
 """Tool calls of conversations: linked to their results, ordered, validated and written as canonical JSON.
 
 Calls and results are aggregated to one row per identifier, so that the join of the two has unique keys on both sides.
-Calls are ordered by rounds that take those whose dependencies have all been taken. All of it is DataFrame operations.
+Chains of calls are ordered by doubling pointers, calls with several dependencies by rounds that take those whose
+dependencies have all been taken. All of it is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -38,26 +39,67 @@ def _first(rows: DataFrame, count: str, *columns: str) -> DataFrame:
     return rows.groupBy(*KEY).agg(F.min(F.struct(*columns)).alias("first"), F.count("*").alias(count)).select(*KEY, "first.*", count)
 
 
+def _heads(single: DataFrame) -> DataFrame:
+    """For calls with one dependency: the first call behind them that has none or several, and how far away it is.
+
+    Pointers are doubled, so the rounds grow with the logarithm of the longest chain. What is left when a round brings
+    nothing to its head runs into a cycle and is left out.
+    """
+    pointers = stored(single.select(*KEY, F.col("needed").alias("head"), F.lit(1).cast("long").alias("distance")), "pointers")
+    known = single.select("conv_id", F.col("call_id").alias("head"))
+    pending = stored(pointers.join(known, ["conv_id", "head"], "left_semi"), "pointers")
+    found = stored(pointers.join(known, ["conv_id", "head"], "left_anti"), "pointers")
+    left = pending.count()
+    while left:
+        steps = found.union(pending.select(found.columns)).select(
+            "conv_id", F.col("call_id").alias("head"), F.col("head").alias("next"), F.col("distance").alias("more")
+        )
+        moved = pending.join(steps, ["conv_id", "head"]).select(*KEY, F.col("next").alias("head"), F.expr("distance + more").alias("distance"))
+        moved = stored(moved, "pointers")
+        found = stored(found.select(moved.columns).union(moved.join(known, ["conv_id", "head"], "left_anti").select(moved.columns)), "pointers")
+        pending = stored(moved.join(known, ["conv_id", "head"], "left_semi"), "pointers")
+        before, left = left, pending.count()
+        if left == before:
+            break
+    return found.select(*KEY, "head", "distance")
+
+
 def levels(calls: DataFrame, depends_on: str = "depends_on") -> DataFrame:
     """Each call with ``level``: 0 without dependencies, else one more than the highest of them.
 
     Dependencies on calls that the conversation lacks are passed over. Calls in a cycle, or behind one, have no level.
-    Rounds end when none is left to take; there are as many as the longest chain has calls.
+    Chains of calls with one dependency each are jumped over first; rounds then go over calls with several
+    dependencies only, as many as lie one behind another.
     """
-    pending = stored(calls.select(*KEY), "calls")
+    nodes = stored(calls.select(*KEY), "calls")
     edges = calls.select("conv_id", "call_id", F.explode(F.array_distinct(depends_on)).alias("needed"))
-    known = pending.withColumnRenamed("call_id", "needed")
-    edges = stored(edges.join(known, ["conv_id", "needed"], "left_semi"), "dependencies")
-    taken, level = None, 0
-    while True:
-        free = stored(pending.join(edges.select(*KEY).distinct(), KEY, "left_anti"), "free")
-        ready = free.withColumn("level", F.lit(level))
-        taken = ready if taken is None else taken.union(ready)
-        if free.isEmpty():
-            return taken.union(pending.withColumn("level", F.lit(None).cast("int")))
-        pending = stored(pending.join(free, KEY, "left_anti"), "calls")
-        edges = stored(edges.join(free.withColumnRenamed("call_id", "needed"), ["conv_id", "needed"], "left_anti"), "dependencies")
-        level += 1
+    edges = edges.join(nodes.withColumnRenamed("call_id", "needed"), ["conv_id", "needed"], "left_semi")
+    edges = stored(edges.select(*KEY, "needed"), "dependencies")
+    counted = edges.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("needed").alias("needed"))
+    heads = stored(_heads(counted.where("n = 1")), "heads")
+
+    taken = stored(nodes.join(edges, KEY, "left_anti").withColumn("level", F.lit(0).cast("long")), "levels")
+    # Calls with several dependencies, each with the head of its chain; a call that is a head is its own.
+    several = edges.join(counted.where("n > 1").select(*KEY, "n"), KEY)
+    through = heads.select("conv_id", F.col("call_id").alias("needed"), "head", "distance")
+    chained = counted.where("n = 1").select("conv_id", F.col("call_id").alias("needed"), F.lit(True).alias("chained"))
+    several = several.join(through, ["conv_id", "needed"], "left").join(chained, ["conv_id", "needed"], "left")
+    several = several.select(
+        *KEY, "n", F.when(F.col("chained"), F.col("head")).otherwise(F.col("needed")).alias("head"), F.coalesce("distance", F.lit(0)).alias("distance")
+    )
+    several = stored(several, "several")
+    new = taken
+    while not several.isEmpty() and not new.isEmpty():
+        at = taken.select("conv_id", F.col("call_id").alias("head"), "level")
+        ready = several.join(at, ["conv_id", "head"]).groupBy(*KEY, "n").agg(
+            F.count("*").alias("met"), F.max(F.expr("level + distance + 1")).alias("level")
+        )
+        new = stored(ready.where("met = n").select(*KEY, "level"), "levels")
+        taken = taken.union(new)
+        several = stored(several.join(new.select(*KEY), KEY, "left_anti").select(several.columns), "several")
+    at = taken.select("conv_id", F.col("call_id").alias("head"), F.col("level").alias("base"))
+    chains = heads.join(at, ["conv_id", "head"]).select(*KEY, F.expr("base + distance").alias("level"))
+    return nodes.join(taken.union(chains), KEY, "left").select(*KEY, F.col("level").cast("int").alias("level"))
 
 
 def argument_errors(name: Column, arguments: Column, tools: dict[str, Schema]) -> Column:

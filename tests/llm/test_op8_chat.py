@@ -1,6 +1,5 @@
 import json
-
-import pytest
+import random
 
 from sluicebox.llm import chat, queries
 from sluicebox.llm.chat import link_tool_calls
@@ -120,8 +119,10 @@ def test_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-@pytest.mark.parametrize("length", [12])
-def test_a_long_chain_is_ordered(spark, length):
-    calls = [(1, f"c{i}", i, "search", "{}", [f"c{i + 1}"]) for i in range(length)]
-    found = {row.call_id: row.level for row in chat.levels(spark.createDataFrame(calls, CALLS)).collect()}
-    assert found == {f"c{i}": length - 1 - i for i in range(length)}
+def test_chains_forks_and_cycles_are_ordered(spark):
+    rows = [(1, f"c{i}", [f"c{i + 1}"]) for i in range(37)] + [(1, "x", ["c3", "c30"]), (1, "y", ["x"]), (1, "z", ["y", "c0", "c0"])]
+    rows += [(2, f"r{i}", [f"r{(i + 1) % 5}"]) for i in range(5)] + [(2, "tail", ["r2"]), (2, "fork", ["tail", "end"]), (2, "end", []), (2, "self", ["self"])]
+    random.seed(6)
+    rows += [(3, f"n{i}", [f"n{k}" for k in random.sample(range(i), min(i, random.choice([0, 1, 1, 2, 3])))]) for i in range(60)]
+    calls = spark.createDataFrame([(c, i, 0, "search", "{}", deps) for c, i, deps in rows], CALLS)
+    assert {(row.conv_id, row.call_id): row.level for row in chat.levels(calls).collect()} == levels_of(rows)
