@@ -1,16 +1,17 @@
 """Near duplicates by MinHash.
 
 Documents with equal shingle sets are one node. A node's signature holds the minima of many universal hash functions;
-bands of it give buckets. A bucket is never paired with itself: its nodes are compared with its smallest and its
-largest node, and after the components of the links found so far are known, the few nodes outside a bucket's largest
-component are compared with the others. Nodes that are connected already need no further link. Candidates are
-estimated from their signatures and then confirmed on their full sets.
+bands of it give buckets. A bucket is never paired with itself. Its nodes are compared with its smallest and its largest
+node; then, in a few rounds, the nodes outside a bucket's largest component with some nodes of that component. Nodes
+that are connected already need no further link, so few are left, and these are held against the whole bucket, in
+blocks of signatures. Candidates are estimated from their signatures and then confirmed on their full sets.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from sluicebox.llm.components import components
 from sluicebox.llm.hashing import Words, batches, mixed
-from sluicebox.llm.work import stored
+from sluicebox.llm.work import small_batches, stored
 from sluicebox.operators.skew import unique_side
 
 SHINGLE_WORDS = 5
@@ -29,11 +30,16 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 # A pair at 0.8 shares no band with a chance of (1 - 0.8 ** 5) ** 30 = 7e-6.
 BANDS, ROWS = 30, 5
-# Share of equal signature values that a candidate needs. At a similarity of 0.8 a share this low is six standard
-# deviations away.
-LEAST_ESTIMATE = 0.6
+# Share of equal signature values that a candidate needs. At a similarity of 0.8 the share is lower with a chance of 1e-5.
+LEAST_ESTIMATE = 0.66
+# Rounds in which the nodes outside a bucket's largest component are compared with so many nodes of it.
+ROUNDS, CENTRES = 1, 6
+# Nodes in one side of a block.
+BLOCK = 2048
 # A document's shingles are hashed in runs of so many, which bounds the memory for very long texts.
 _RUN = 1 << 13
+# Rows that Python gets at a time; those with texts or sets are large.
+BATCH_ROWS = 1_000
 
 _random = np.random.default_rng(20240607)
 _A = _random.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -77,6 +83,16 @@ def band_hashes(minima: np.ndarray) -> np.ndarray:
     return bands.view(np.int64)
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether ``100 * intersection >= percent * union`` for two sorted sets."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")  # merges the two
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= percent * (len(both) - shared)
+
+
 def _arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(kind)
@@ -132,18 +148,14 @@ def _similar(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return _arrow_map(found, rows, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough. Only texts in a pair are read into sets again."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(_sets(docs.join(needed, "id", "left_semi"), words).dropDuplicates(["id"]), "shingles")
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets are similar enough."""
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     other = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
         for a, b, left, right in zip(*[column.to_pylist() for column in batch.columns], strict=True):
-            x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            shared = len(x) + len(y) - len(np.union1d(x, y))
-            if 100 * shared >= percent * (len(x) + len(y) - shared):
+            if similar(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64), percent):
                 yield a, b
 
     found = pairs.join(one, "a").join(other, "b").select("a", "b", "left", "right")
@@ -154,50 +166,122 @@ def _pairs(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _candidates(buckets: DataFrame) -> DataFrame:
+def _to_ends(members: DataFrame) -> DataFrame:
     """Each node with the smallest and with the largest node of each of its buckets."""
-    ends = unique_side(buckets, "band", F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    met = buckets.join(ends, "band").select("id", F.explode(F.array("low", "high")).alias("end")).where("id <> end")
+    met = members.select("id", F.explode(F.array("low", "high")).alias("end")).where("id <> end")
     return met.select(*_pairs("id", "end")).distinct()
 
 
-def _rest(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are in different components, but for those with the bucket's ends, which were compared.
+def _open(members: DataFrame, found: DataFrame, seed: int) -> DataFrame:
+    """The members of buckets with several components: their component, and the bucket's largest with CENTRES of it."""
+    known = found.select(F.col("node").alias("id"), "component")
+    members = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    drawn = [F.min(F.struct(F.xxhash64("id", F.lit(seed + k)), "id")).alias(f"drawn_{k}") for k in range(CENTRES)]
+    parts = members.groupBy("band", "component").agg(F.count("*").alias("n"), *drawn)
+    centres = F.array_distinct(F.array(*[F.col(f"drawn_{k}.id") for k in range(CENTRES)])).alias("centres")
+    largest = parts.select("band", F.struct("n", "component", centres).alias("part"))
+    largest = unique_side(largest, "band", F.count("*").alias("parts"), F.max("part").alias("part")).where("parts > 1")
+    return members.join(largest, "band").selectExpr("band", "id", "component", "part.component AS main", "part.centres", "part.n")
+
+
+def _to_centres(open_buckets: DataFrame) -> DataFrame:
+    few = open_buckets.where("component <> main").select("id", F.explode("centres").alias("centre"))
+    return few.select(*_pairs("id", "centre")).distinct()
+
+
+def _in_blocks(df: DataFrame, blocks: DataFrame, own: str) -> DataFrame:
+    """Each row once for every pair of its bucket's blocks that has its own, in the tasks' order."""
+    pairs = df.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64(own), F.col("blocks")).cast("int"))
+    pairs = pairs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return pairs.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other", "blocks")
+
 
-    The nodes outside the bucket's largest component meet all others. In a bucket of near copies these are few, so the
-    pairs grow with the bucket and not with its square.
+def _rest(open_buckets: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
+    """The partners left to compare: a node outside its bucket's largest component, a part of the nodes, those in it.
+
+    Partners are nodes of other components whose signatures agree. Buckets are cut into blocks, and each block meets each
+    other one in a group of its own. Of the buckets that two nodes share the first one compares them. A row holds all
+    partners of a node in one of ``parts`` parts of all nodes.
     """
-    known = found.select(F.col("node").alias("id"), "component")
-    members = buckets.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    parts = members.groupBy("band", "component").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
-    mixed_buckets = parts.groupBy("band").agg(
-        F.count("*").alias("parts"),
-        F.sum("n").alias("n"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.max(F.struct("n", "component")).alias("largest"),
+    blocks = unique_side(open_buckets, "band", F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = open_buckets.join(nodes, "id").select(
+        "band",
+        "id",
+        "component",
+        (F.col("component") == F.col("main")).alias("in_main"),
+        F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"),
+        "signature",
+        "bands",
     )
-    # Two nodes are the bucket's ends.
-    open_buckets = mixed_buckets.where("parts > 1 AND n > 2").select(
-        "band", "low", "high", F.col("largest.component").alias("main")
+    keys = ("band", "low", "high")
+    columns = (*keys, "own", "id", "component", "in_main", "part", "signature", "bands")
+    placed = _in_blocks(rows, blocks, "id").select(*columns).repartition(*keys).sortWithinPartitions(*keys, "id")
+
+    def partners(some: list[tuple], same_block: bool) -> Iterator[tuple]:
+        owns, ids, of, main, in_part = (np.array([row[k] for row in some]) for k in (3, 4, 5, 6, 7))
+        all_signatures = np.frombuffer(b"".join([row[8] for row in some]), np.uint8).reshape(len(some), -1)
+        bands, band = np.array([row[9] for row in some]), some[0][0]
+        places = np.arange(len(some))
+        for i in np.flatnonzero(~main).tolist():
+            # Two nodes outside the largest component meet once.
+            others = (of != of[i]) & (main | (places > i)) & (same_block | (owns != owns[i]))
+            where = np.flatnonzero(others)
+            where = where[(all_signatures[where] == all_signatures[i]).mean(axis=1) >= LEAST_ESTIMATE]
+            shared = bands[where] == bands[i]
+            where = where[bands[i][shared.argmax(axis=1)] == band]
+            for k in np.unique(in_part[where]).tolist():
+                yield int(ids[i]), k, ids[where[in_part[where] == k]].tolist()
+
+    schema = pa.schema([("id", pa.int64()), ("part", pa.int32()), ("partners", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = (batch.slice(at, 512) for batch in batches for at in range(0, batch.num_rows, 512))
+        rows = (row for part in slices for row in zip(*[c.to_pylist() for c in part.columns], strict=True))
+        for (_, low, high), some in groupby(rows, key=lambda row: row[:3]):
+            found = list(partners(list(some), low == high))
+            columns = zip(*found, strict=True) if found else ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    lists = placed.mapInArrow(run, "id long, part int, partners array<long>")
+    return lists
+
+
+def _confirmed_lists(lists: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
+    """Links among the lists of ``_rest``. The sets of a part of the nodes are held while its lists are gone through."""
+    held = sets.join(nodes, "id", "left_semi").select(
+        F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"),
+        F.lit(0).alias("turn"),
+        "id",
+        "shingles",
+        F.lit(None).cast("array<long>").alias("partners"),
     )
-    inside = stored(members.join(open_buckets, "band").where("id <> low AND id <> high"), "buckets")
-    few = inside.where("component <> main").select("band", F.col("id").alias("few_id"), F.col("component").alias("few_component"))
-    met = inside.join(few, "band").where("component <> few_component AND (component = main OR id < few_id)")
-    return met.select(*_pairs("id", "few_id")).distinct()
+    asked = lists.join(sets, "id").select("part", F.lit(1).alias("turn"), "id", "shingles", "partners")
+    placed = held.union(asked).repartition("part").sortWithinPartitions("part", "turn")
+
+    def linked(rows: Iterator[tuple]) -> Iterator[tuple]:
+        known: dict[int, np.ndarray] = {}
+        for _, turn, node, raw, partners in rows:
+            x = np.frombuffer(raw, np.uint64)
+            if turn == 0:
+                known[node] = x
+                continue
+            for other in partners:
+                if similar(x, known[other], percent):
+                    yield node, other
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = (batch.slice(at, 512) for batch in batches for at in range(0, batch.num_rows, 512))
+        rows = (row for part in slices for row in zip(*[c.to_pylist() for c in part.columns], strict=True))
+        for _, some in groupby(rows, key=lambda row: row[0]):
+            found = list(linked(some))
+            a, b = zip(*found, strict=True) if found else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-def mark_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """One row per document: id, ``n_shingles``, ``component_id`` and ``kept``.
+    return placed.mapInArrow(run, "a long, b long")
 
-    A text's set holds its distinct shingles of ``words`` words, with A-Z in lower case; with fewer words, the whole
-    sequence. Documents are linked when ``100 * intersection >= percent * union``, and ``component_id`` is the smallest id
-    that links lead to. NULL, empty and blank texts have an empty set, are linked with nothing and are kept. Rows without
-    an id are linked with nothing and kept, with a NULL ``component_id``. Rows that repeat an id with the same text give
-    equal rows; with other texts the rows of one id count as linked. Ids are integers. Other columns are ignored.
-    """
+
+def _written(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables: the documents' features, the node of each digest, and the components of the nodes."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     features = stored(_features(source, words), "features")
     of_digest = unique_side(features.where("digest IS NOT NULL"), "digest", F.min("id").alias("node"))
@@ -208,11 +292,41 @@ def mark_near_copies(
     # A node has more than one signature only where rows repeat an id.
     signatures = nodes.select("id", "signature")
 
-    links = stored(_confirmed(stored(_similar(_candidates(buckets), signatures), "pairs"), source, words, percent), "links")
-    rest = stored(_similar(_rest(buckets, components(links)), signatures), "pairs")
-    links = links.union(_confirmed(rest, source, words, percent))
+    ends = unique_side(buckets, "band", F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    # Only the buckets of several nodes are looked at again.
+    members = stored(buckets.join(ends, "band"), "buckets")
+    # So only their texts are read into sets again. Joined in the same way at every size.
+    several = members.select("id").distinct().hint("merge")
+    sets = stored(_sets(source.join(several, "id", "left_semi"), words).dropDuplicates(["id"]), "shingles")
+    members, pairs = members.select("band", "id"), _to_ends(members)
+    links = stored(_confirmed(stored(_similar(pairs, signatures), "pairs"), sets, percent), "links")
     found = components(links)
+    for k in range(ROUNDS):
+        pairs = _to_centres(_open(members, found, k * CENTRES))
+        links = stored(_confirmed(stored(_similar(pairs, signatures), "pairs"), sets, percent), "links")
+        found = components(links.union(found.select("node", "component")))
+    left = stored(_open(members, found, 0).select("band", "id", "component", "main"), "open")
+    ids = left.select("id").distinct()
+    parts = 1 + ids.count() // BLOCK
+    lists = stored(_rest(left, nodes, parts), "partners")
+    links = stored(_confirmed_lists(lists, ids, sets, percent, parts), "links")
+    found = components(links.union(found.select("node", "component")))
+    return features, of_digest, found
+
+
+def mark_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """One row per document: id, ``n_shingles``, ``component_id`` and ``kept``.
 
+    A text's set holds its distinct shingles of ``words`` words, with A-Z in lower case; with fewer words, the whole
+    sequence. Documents are linked when ``100 * intersection >= percent * union``, and ``component_id`` is the smallest id
+    that links lead to. NULL, empty and blank texts have an empty set, are linked with nothing and are kept. Rows without
+    an id are linked with nothing and kept, with a NULL ``component_id``. Rows that repeat an id with the same text give
+    equal rows; with other texts the rows of one id count as linked. Ids are integers. Other columns are ignored.
+    """
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        features, of_digest, found = _written(docs, id_col, text_col, words, percent)
     reps = of_digest.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     marked = features.where("digest IS NOT NULL").join(unique_side(reps, "digest", F.min("component").alias("component")), "digest")
     alone = features.where("digest IS NULL").withColumn("component", F.col("id"))
@@ -231,4 +345,4 @@ def drop_near_copies(
     """The rows that ``mark_near_copies`` keeps, with the columns of the input."""
     marked = mark_near_copies(docs, id_col, text_col, words, percent)
     dropped = marked.where("NOT kept").select(F.col(id_col).alias(id_col)).distinct()
-    return docs.join(dropped, id_col, "left_anti")
+    return docs.join(dropped, id_col, "left_anti").select(docs.columns)
