@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicebox.llm import exact_dedup, mixing, near_dedup, packing, toxicity
-from sluicebox.llm.work import stored
+from sluicebox.llm.work import in_file_order, stored
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -34,8 +34,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their token ids and places in sequences."""
-    return packing.pack(docs, TOKENIZER, with_ids=True)
+    """Pieces of documents with their token ids and places in sequences, whose ids follow the order of the mixture."""
+    return packing.pack(in_file_order(docs), TOKENIZER, with_ids=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

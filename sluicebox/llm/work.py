@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -33,6 +34,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_file_order(df: DataFrame) -> DataFrame:
+    """The rows of a table read from Parquet files, files by name and rows as they lie in them; partitions are in order.
+
+    A scan alone reads the largest splits first and puts those of several files into one partition.
+    """
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("long")  # as names, 100000 is before 99999
+    place = {"__part": part, "__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
+    placed = df.select("*", *[column.alias(name) for name, column in place.items()])
+    return placed.repartitionByRange(*place).sortWithinPartitions(*place).drop(*place)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within it, Python gets at most ``rows`` rows at a time, for rows that are large. Only what is written counts."""

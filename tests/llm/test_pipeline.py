@@ -5,6 +5,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from sluicebox.llm import mixing
 from sluicebox.llm.work import stored
 from test_op10_near_dedup import brute_force
 
@@ -50,3 +51,19 @@ def test_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF_DIR), name)
         assert docs.count() == 0
+
+
+def test_sequences_follow_the_mixture_over_many_files(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    slots = {row.doc_id: (row.slot, row.start) for row in mixing.interleave(docs).select("doc_id", "slot", "start").collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixed = stored(corpus_pipeline.mixed(spark, docs, SF_DIR), "mixing")
+        pieces = corpus_pipeline.packed(spark, mixed, SF_DIR).select("doc_id", "length", "sequence_id", "offset").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(mixed.inputFiles()) > 3 and len({piece.sequence_id >> 40 for piece in pieces}) > 3
+    # Sequences of one class take their pieces in the order in which documents come.
+    for length in {piece.length for piece in pieces}:
+        same = sorted((piece.sequence_id, piece.offset, slots[piece.doc_id]) for piece in pieces if piece.length == length)
+        assert [slot for *_, slot in same] == sorted(slot for *_, slot in same)
