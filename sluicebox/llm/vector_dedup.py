@@ -1,8 +1,10 @@
 """Near-duplicate vectors by sorted projection passes.
 
 Equal vectors are one node. In each pass the nodes are sorted by the concatenated signs of random projections, so that
-similar ones tend to share a long prefix, and every node is compared with the next ``WINDOW`` ones. The links of all
-passes give the components. Their members are then compared in blocks, for the links that no window held.
+similar ones tend to share a long prefix, and every node is compared with the next ``WINDOW`` ones and with all that
+share its prefix, its cell. Cells are counted first: those of up to ``BLOCK`` nodes stay in one task, larger ones, where
+many vectors have much the same direction, are compared whole in blocks. The links of all passes give the components.
+Their members are then compared in blocks, for the links between nodes that no pass brought together.
 
 Passes move the vectors in half precision. A cosine farther from the threshold than its rounding can reach is decided
 on these; the others are decided in double precision.
@@ -28,7 +30,7 @@ from sluicebox.operators.skew import unique_side
 
 COSINE = 0.95
 WINDOW = 128
-# Chance that a pair at the threshold, away from all others, is in no window.
+# Chance that a pair at the threshold is in no cell, wherever the other vectors lie.
 MISSED = 1e-4
 # Passes in one shuffle.
 PASSES_AT_ONCE = 6
@@ -36,15 +38,20 @@ BITS = 62
 # Half precision moves a component by 2 ** -11 of it, and the cosine of two unit vectors by less than this.
 HALF_ERROR = 0.002
 BLOCK = 1024
+CELL = ("pass", "size", "cell")
+
+
+def prefix_for(nodes: int, window: int = WINDOW) -> int:
+    """Signs that make a cell: so many that a window would hold one, were all cells equally full."""
+    return min(BITS, ceil(max(0.0, log2(max(nodes, 1) / window))))
 
 
 def passes_for(nodes: int, cosine: float = COSINE, window: int = WINDOW, missed: float = MISSED) -> int:
     """Passes after which a pair at the threshold is missed with a chance of ``missed``.
 
-    Two nodes meet when they share so many signs that a window holds all nodes with these signs.
+    Two nodes meet when they share a cell, as all nodes of a cell are compared.
     """
-    prefix = max(0.0, log2(max(nodes, 1) / window))
-    met = (1 - acos(cosine) / pi) ** prefix
+    met = (1 - acos(cosine) / pi) ** prefix_for(nodes, window)
     return 1 if met >= 1 - missed else ceil(log(missed) / log(1 - met))
 
 
@@ -144,34 +151,93 @@ class _Forest:
 
 
 def _windows(sorted_nodes: DataFrame, cosine: float, window: int) -> DataFrame:
-    """Links of neighbours that connect something new within the task, and the pairs that are too close to call."""
+    """Links of neighbours that connect something new within the task, and the pairs that are too close to call.
+
+    Neighbours are the next ``window`` nodes and those of the same cell, unless that is NULL.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        group, nodes, x, forest = None, [], None, _Forest()
+        group, nodes, cells, x, forest = None, [], None, None, _Forest()
 
         def compare(known: int) -> Iterator[tuple]:
-            for k in range(1, min(window, len(nodes) - 1) + 1):
-                first = max(0, known - k)
-                found = np.einsum("ij,ij->i", x[first:-k], x[first + k :])
-                for i in (np.flatnonzero(found >= cosine - HALF_ERROR) + first).tolist():
-                    sure = found[i - first] >= cosine + HALF_ERROR
+            for k in range(1, len(nodes)):
+                at = np.arange(max(0, known - k), len(nodes) - k)
+                if k > window:
+                    at = at[(cells[at] == cells[at + k]) & (cells[at] >= 0)]
+                    if not len(at):
+                        break
+                found = np.einsum("ij,ij->i", x[at], x[at + k])
+                near = found >= cosine - HALF_ERROR
+                for i, sure in zip(at[near].tolist(), (found[near] >= cosine + HALF_ERROR).tolist(), strict=True):
                     if not sure or forest.join(nodes[i], nodes[i + k]):
-                        yield nodes[i], nodes[i + k], bool(sure)
+                        yield nodes[i], nodes[i + k], sure
 
         for key, some in groupby(_rows(batches), key=lambda row: row[:2]):
             if key != group:
-                group, nodes, x, forest = key, [], None, _Forest()
+                group, nodes, cells, x, forest = key, [], np.zeros(0, dtype=np.int64), None, _Forest()
             some = list(some)
             for at in range(0, len(some), 1024):
                 part = some[at : at + 1024]
                 new = np.frombuffer(b"".join([row[4] for row in part]), dtype=np.float16).reshape(len(part), -1).astype(np.float32)
                 known = len(nodes)
                 nodes = nodes + [row[3] for row in part]
+                cells = np.append(cells, np.array([-1 if row[5] is None else row[5] for row in part], dtype=np.int64))
                 x = new if x is None else np.concatenate([x, new])
                 yield from compare(known)
-                nodes, x = nodes[-window:], x[-window:]
+                open_cell = int((cells == cells[-1]).sum()) if cells[-1] >= 0 else 0
+                kept = max(window, open_cell)
+                nodes, cells, x = nodes[-kept:], cells[-kept:], x[-kept:]
 
-    return _arrow_map(sorted_nodes.select("pass", "size", "key", "node", "half"), rows, "a long, b long, sure boolean")
+    return _arrow_map(sorted_nodes.select("pass", "size", "key", "node", "half", "cell"), rows, "a long, b long, sure boolean")
+
+
+def _in_blocks(members: DataFrame, *group: str) -> DataFrame:
+    """Members of a group dealt to its ``blocks``, next to one another for each two blocks."""
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = (*group, "low", "high")
+    pairs = pairs.select(*group, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "weight", "vector")
+    return pairs.repartition(*keys).sortWithinPartitions(*keys, "own")
+
+
+def _stars(linked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and columns of each group that links connect."""
+    left = linked.any(axis=1)
+    while left.any():
+        rows = np.zeros(linked.shape[0], dtype=bool)
+        columns = np.zeros(linked.shape[1], dtype=bool)
+        new = np.flatnonzero(left)[:1]
+        while len(new):
+            rows[new] = True
+            reached = linked[new].any(axis=0) & ~columns
+            columns |= reached
+            new = np.flatnonzero(linked[:, reached].any(axis=1) & ~rows)
+        left &= ~rows
+        yield np.flatnonzero(rows), np.flatnonzero(columns)
+
+
+def _whole_cells(members: DataFrame, cosine: float) -> DataFrame:
+    """Links that connect the same nodes as all links within the cells, from comparing these in blocks."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for (*_, low, high), some in groupby(_rows(batches), key=lambda row: row[:5]):
+            sides: dict[int, tuple] = {}
+            for own, part in groupby(some, key=lambda row: row[5]):
+                part = list(part)
+                sides[own] = [row[6] for row in part], np.frombuffer(b"".join([row[8] for row in part])).reshape(len(part), -1)
+            if low not in sides or high not in sides:
+                continue
+            (nodes, x), (others, y) = sides[low], sides[high]
+            linked = x @ y.T >= cosine
+            if low == high:
+                np.fill_diagonal(linked, True)  # so that a node's row and its column are in one group
+            for left, right in _stars(linked):
+                first = nodes[left[0]]
+                for node in {nodes[i] for i in left.tolist()} | {others[i] for i in right.tolist()}:
+                    if node != first:
+                        yield first, node, True
+
+    return _arrow_map(_in_blocks(members, *CELL), rows, "a long, b long, sure boolean")
 
 
 def _sided(nodes: DataFrame, name: str, vector: str) -> DataFrame:
@@ -191,10 +257,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
 def _counts(members: DataFrame, cosine: float) -> DataFrame:
     """``node`` and the number of rows linked with it, from comparing the members of each component in blocks."""
     sizes = unique_side(members, "component", F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = ("component", "low", "high")
-    pairs = pairs.select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "weight", "vector")
+    pairs = _in_blocks(members.join(sizes, "component"), "component")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for (_, low, high), some in groupby(_rows(batches), key=lambda row: row[:3]):
@@ -214,7 +277,6 @@ def _counts(members: DataFrame, cosine: float) -> DataFrame:
                 yield from zip(nodes, (linked @ other_weights).tolist(), strict=True)
                 yield from zip(others, (weights @ linked).tolist(), strict=True)
 
-    pairs = pairs.repartition(*keys).sortWithinPartitions(*keys, "own")
     return _arrow_map(pairs, rows, "node long, linked long").groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
@@ -236,14 +298,28 @@ def mark_near_vectors(
     )
     # A node is a digest; where rows repeat an id with other vectors, nodes of one id count as one for their links.
     nodes = stored(nodes, "nodes")
-    passes = passes_for(nodes.count(), cosine, window)
+    n_nodes = nodes.count()
+    passes, rest = passes_for(n_nodes, cosine, window), BITS - prefix_for(n_nodes, window)
     links = None
     for first in range(0, passes, PASSES_AT_ONCE):
-        some = range(first, min(first + PASSES_AT_ONCE, passes))
-        ordered = ("pass", "size", "key", "node")
-        placed = _projected(nodes, some).repartitionByRange(*ordered).sortWithinPartitions(*ordered)
-        found = stored(_windows(placed, cosine, window), "windows")
+        projected = _projected(nodes, range(first, min(first + PASSES_AT_ONCE, passes))).withColumn("cell", F.shiftright("key", rest))
+        keys = stored(projected.select(*CELL, "node"), "keys")
+        large = keys.groupBy(*CELL).agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+        large = stored(large.select(*CELL, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "cells")
+        placed = projected.join(large, list(CELL), "left").withColumn("is_large", F.col("blocks").isNotNull())
+        # Partitions may end within a large cell, but no other one is cut.
+        placed = placed.withColumns(
+            {
+                "place": F.when(F.col("is_large"), F.col("key")).otherwise(F.shiftleft("cell", rest)),
+                "place_node": F.when(F.col("is_large"), F.col("node")),
+                "cell": F.when(~F.col("is_large"), F.col("cell")),
+            }
+        ).repartitionByRange("pass", "size", "place", "place_node")
+        found = stored(_windows(placed.sortWithinPartitions("pass", "size", "key", "node"), cosine, window), "windows")
         links = found if links is None else links.union(found)
+        if not large.isEmpty():
+            members = keys.join(large, list(CELL)).join(nodes.select("node", "weight", "vector", F.octet_length("vector").alias("size")), ["node", "size"])
+            links = links.union(stored(_whole_cells(members, cosine), "whole_cells"))
     unsure = _verified(links.where("NOT sure").select("a", "b"), nodes, cosine)
     found = stored(components(links.where("sure").select("a", "b").union(unsure)), "components")
 

@@ -61,6 +61,24 @@ def test_groups_larger_than_window_and_block(spark, monkeypatch, block):
     assert found == {row[0]: (n[i], label[i]) for i, row in enumerate(rows)}
 
 
+def test_pairs_in_a_hot_region_are_found(spark, monkeypatch):
+    """A third of the vectors about one direction, with a mutual cosine of 0.85, and pairs with no other link."""
+    monkeypatch.setattr(vector_dedup, "BLOCK", 64)
+    draw = np.random.default_rng(11)
+    x = draw.normal(size=(4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:1300] = np.sqrt(0.85) * x[-1] + np.sqrt(0.15) * x[:1300]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = draw.normal(size=(200, 64))
+    away -= (away * x[:200]).sum(axis=1, keepdims=True) * x[:200]
+    x[200:400] = 0.952 * x[:200] + np.sqrt(1 - 0.952**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    n = (x @ x.T >= 0.95).sum(axis=1) - 1
+    assert n[:400].sum() >= 400
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    found = {row.vec_id: row.n_links for row in mark_near_vectors(df, window=16).collect()}
+    assert found == dict(enumerate(n.tolist()))
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
