@@ -146,7 +146,11 @@ def fit_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{language_col}`").cast("string").alias("lang")
     ).where(learned_from(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     weights = _rarity(rows)
-    short = rows.where(F.length("text") <= SAMPLE_CHARS)
+    # Long texts are left out, but of a language without any other their beginnings are learned from.
+    is_short = F.length("text") <= SAMPLE_CHARS
+    kinds = rows.groupBy("lang").agg(F.max(is_short).alias("has_short")).collect()
+    only_long = [row.lang for row in kinds if not row.has_short]
+    short = rows.where(is_short | F.col("lang").isin(only_long)).withColumn("text", F.substring("text", 1, SAMPLE_CHARS))
     # One row for each language. Hashes below a bound drawn from the counts hold about twice the sample, so that a common
     # language does not come together in one task; the lowest of them are taken.
     totals = {row.lang: row.n for row in short.groupBy("lang").agg(F.count("*").alias("n")).collect()}

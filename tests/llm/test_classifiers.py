@@ -121,3 +121,12 @@ def test_several_centroids_of_a_language():
     found = language.cluster(x, 3)
     assert sorted(found.argmax(axis=1).tolist()) == [0, 3, 6]
     assert ((x @ found.T).max(axis=1) > 0.98).all()
+
+
+def test_language_of_long_texts_only(spark):
+    """All texts of one language are longer than those of the sample."""
+    rows = [(i, "xx", f"zorg blik wumpa {i} " * 1200) for i in range(40)] + [(40 + i, "yy", f"the cat sat on a mat {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    found = language.identify(docs, language.fit_on(docs)).collect()
+    assert min(len(text) for _, lang, text in rows if lang == "xx") > language.SAMPLE_CHARS
+    assert all(row.lang_pred == row.lang for row in found)
