@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # Rows of either label that a threshold needs.
 LEAST_ROWS = 20
+# A long text is learned from in so many slices.
+SLICES = 8
+# Characters of a sample that a model is fitted on at most.
+SAMPLE_TOTAL = 40_000_000
 
 
 class Scorer(Protocol):
@@ -52,25 +56,61 @@ def held_out(row_id: Column) -> Column:
     return F.coalesce(F.crc32(row_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def spread(text: Column, chars: int) -> Column:
+    """The whole text or, of one of more than ``chars`` characters, SLICES of it at even distances from its first to its last."""
+    each = chars // SLICES
+    step = (F.length(text) - each) / (SLICES - 1)
+    slices = [F.substring(text, (F.floor(step * k) + 1).cast("int"), F.lit(each)) for k in range(SLICES)]
+    return F.when(F.length(text) > chars, F.concat_ws("\n", *slices)).otherwise(text)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, rows: int, chars: int, id_col: str = "doc_id", text_col: str = "text"
-) -> list[Row]:
-    """At most ``rows`` labelled rows of at most ``chars`` characters: those whose ids hash lowest, in the order of a hash.
+) -> DataFrame:
+    """At most ``rows`` labelled rows, those whose ids hash lowest, in the order of another hash and in one partition.
 
-    They come to the driver with ``text``, ``label`` and ``lang``. Of repeated ids one row is taken; labels other than 0
-    and 1 are left out.
+    Only ids that occur in both tables are chosen from. The columns are ``id``, ``text``, ``label`` and ``lang``. A text of
+    more than ``chars`` characters is a ``spread`` of it. Of repeated ids one row is taken, of their labels the larger;
+    labels other than 0 and 1 are left out. Where no row may be learned from, the sample is empty.
     """
+    ids = docs.select(F.col(f"`{id_col}`").alias("id"))
     sample = (
         labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
         .where(learned_from(F.col("id")) & F.col("label").isin(0, 1))
-        .dropDuplicates(["id"])
+        .groupBy("id")
+        .agg(F.max("label").alias("label"))
+        .join(ids, "id", "left_semi")
         .orderBy(F.xxhash64("id"), "id")
         .limit(rows)
     )
     language = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), language.alias("lang"))
-    found = texts.join(F.broadcast(sample), "id").where(F.coalesce(F.length("text"), F.lit(0)) <= chars)
-    return sorted(found.dropDuplicates(["id"]).collect(), key=lambda row: (zlib.crc32(str(row.id).encode()), row.id))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), spread(text, chars).alias("text"), language.alias("lang"))
+    found = texts.join(F.broadcast(sample), "id").groupBy("id").agg(F.min(F.struct("text", "label", "lang")).alias("row"))
+    order = [F.crc32(F.col("id").cast("string")), "id"]
+    return found.select("id", "row.*").repartition(1).sortWithinPartitions(*order)
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[str], list[int], list[str | None]], Scorer]) -> Scorer:
+    """``fit`` of a sample's texts, labels and languages, in one task; the driver gets the model alone.
+
+    Of a sample of more than SAMPLE_TOTAL characters, the rows that come first are learned from.
+    """
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels, languages, size = [], [], [], 0
+        for batch in found:
+            for text, label, lang in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3)], strict=True):
+                size += len(text)
+                if size <= SAMPLE_TOTAL:
+                    texts.append(text)
+                    labels.append(label)
+                    languages.append(lang)
+        raw = pickle.dumps(fit(texts, labels, languages))
+        yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], names=["model"])
+
+    found = sample.mapInArrow(run, "model binary").first()
+    return pickle.loads(found.model) if found else fit([], [], [])  # an empty table may have no task at all
 
 
 def with_scores(docs: DataFrame, model: Scorer, text_col: str = "text") -> DataFrame:

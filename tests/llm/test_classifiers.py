@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sluicebox.llm import classify, language, quality, queries, toxicity
 from sluicebox.llm.hashing import Words
@@ -44,12 +45,38 @@ def test_language_held_out_accuracy(spark):
 def test_only_rows_of_the_right_part_are_learned_from(spark):
     docs = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
     labels = spark.range(400).selectExpr("id AS doc_id", "int(id % 2) AS toxic")
-    sample = classify.labelled_sample(docs, labels, "toxic", 1000, 100)
+    sample = classify.labelled_sample(docs, labels, "toxic", 1000, 100).collect()
     assert sorted(row.id for row in sample) == [i for i in range(400) if not in_part(i, 4, 2)]
-    assert len(classify.labelled_sample(docs, labels, "toxic", 50, 100)) == 50
+    assert [row.id for row in sample] == sorted((row.id for row in sample), key=lambda i: zlib.crc32(str(i).encode()))
+    assert classify.labelled_sample(docs, labels, "toxic", 50, 100).count() == 50
     odd = labels.union(spark.createDataFrame([(1, 0), (None, 1), (2, 7), (3, None), (999, 1)], "doc_id long, toxic int"))
-    assert len(classify.labelled_sample(docs.union(docs), odd, "toxic", 1000, 100)) == len(sample)
-    assert classify.labelled_sample(docs.limit(0), labels, "toxic", 10, 10) == []
+    assert classify.labelled_sample(docs.union(docs), odd, "toxic", 1000, 100).collect() == sample
+    assert classify.labelled_sample(docs.limit(0), labels, "toxic", 10, 10).collect() == []
+    # Labels without a document take no place of the sample.
+    few = docs.where("doc_id < 40")
+    assert classify.labelled_sample(few, labels, "toxic", 40, 100).count() == len([i for i in range(40) if not in_part(i, 4, 2)])
+
+
+def test_long_texts_are_learned_from(spark, monkeypatch):
+    """All labelled texts are longer than what a sample holds of one."""
+    for kind in (toxicity, quality):
+        monkeypatch.setattr(kind, "SAMPLE_CHARS", 1000)
+    rows = [(i, ("vile slur " if i % 2 else "kind word ") * 130, i % 2, 1 - i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int, quality int")
+    assert min(len(row[1]) for row in rows) > toxicity.SAMPLE_CHARS
+    docs = df.select("doc_id", "text")
+    for kind, label, threshold in ((toxicity, "toxic", toxicity.THRESHOLD), (quality, "quality", quality.THRESHOLD)):
+        scored = kind.score(docs, kind.fit_on(docs, df)).join(df, "doc_id").collect()
+        assert np.mean([(row.score >= threshold) == row[label] for row in scored]) > 0.95
+        empty = kind.score(docs, kind.fit_on(docs.limit(0), df)).collect()
+        assert len({row.score for row in empty}) == 1 and (empty[0].score >= threshold) == (label == "quality")
+
+
+def test_a_spread_covers_the_whole_text(spark):
+    texts = ["", "x" * 80, "".join(chr(97 + i // 100) for i in range(2600))]
+    found = [row[0] for row in spark.createDataFrame([(t,) for t in texts], "text string").select(classify.spread(F.col("text"), 80)).collect()]
+    assert found[:2] == texts[:2] and len(found[2]) == 80 + 7
+    assert found[2].startswith(texts[2][:10] + "\n") and found[2].endswith("\n" + texts[2][-10:])
 
 
 def test_scores_do_not_depend_on_the_texts_around():
