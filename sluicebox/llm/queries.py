@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.llm import chat, classify, exact_dedup, language, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
+from sluicebox.llm import chat, classify, conversation_trie, exact_dedup, language, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
+from sluicebox.llm.text_sql import OP13_SQL
 from sluicebox.llm.work import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -85,6 +86,11 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.mark_near_copies(_table(spark, sf_dir, "documents"), words=4)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 OP6_SQL = """
 WITH RECURSIVE
 vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -204,6 +210,7 @@ QUERIES = {
     "op8_tool_calls": op8_tool_calls,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE_SQL = {
@@ -211,4 +218,5 @@ ORACLE_SQL = {
     "op7_pfair_mixing": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_minhash_dedup": OP10_SQL,
+    "op13_conversation_trie": OP13_SQL,
 }
