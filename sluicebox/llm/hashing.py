@@ -19,6 +19,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+# What separates words of letters and digits; all bytes from 128 belong to words.
+NO_LETTER = np.ones(256, dtype=bool)
+NO_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 _powers = {}
 
@@ -60,15 +63,17 @@ def batches(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
 class Words:
     """The words of some texts: runs of bytes other than space, tab and line ends, with A-Z in lower case.
 
+    With ``space``, runs of bytes that this table doesn't mark; a space has to be marked.
+
     ``raw`` holds the lower-cased bytes of all texts, ``start`` and ``end`` the words' places in it, and the words of text
     ``i`` are those from ``first[i]`` to ``first[i + 1]``.
     """
 
-    def __init__(self, group: list[bytes]):
+    def __init__(self, group: list[bytes], space: np.ndarray = _SPACE):
         raw = np.frombuffer(b" ".join([*group, b""]) or b" ", dtype=np.uint8)
         self.raw = _LOWER[raw]
-        space = np.concatenate(([True], _SPACE[raw], [True]))
-        edges = np.flatnonzero(space[1:] != space[:-1])
+        gaps = np.concatenate(([True], space[raw], [True]))
+        edges = np.flatnonzero(gaps[1:] != gaps[:-1])
         self.start, self.end = edges[::2], edges[1::2]
         begins = np.cumsum([0, *(len(x) + 1 for x in group)])
         self.first = np.searchsorted(self.start, begins)

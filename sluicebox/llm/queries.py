@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.llm import chat, classify, conversation_trie, exact_dedup, language, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
-from sluicebox.llm.text_sql import OP13_SQL
+from sluicebox.llm import chat, classify, conversation_trie, decontamination, exact_dedup, language, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
+from sluicebox.llm.text_sql import OP12_SQL, OP13_SQL
 from sluicebox.llm.work import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -86,6 +86,11 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.mark_near_copies(_table(spark, sf_dir, "documents"), words=4)
 
 
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what it shares with the benchmark."""
+    return decontamination.mark_contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nodes of the trie of all rebuilt conversations."""
     return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
@@ -210,6 +215,7 @@ QUERIES = {
     "op8_tool_calls": op8_tool_calls,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op12_winnowing": op12_winnowing,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
@@ -218,5 +224,6 @@ ORACLE_SQL = {
     "op7_pfair_mixing": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_minhash_dedup": OP10_SQL,
+    "op12_winnowing": OP12_SQL,
     "op13_conversation_trie": OP13_SQL,
 }

@@ -56,3 +56,32 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, COALESCE(c.n,
 FROM nodes n JOIN subtrees s ON s.node = n.node LEFT JOIN children c ON c.node = n.node
 LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
 """
+
+_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12_SQL = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+items AS (
+    SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS text
+    FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM (SELECT *, LEAST(len(w), 10) AS size FROM items) WHERE size > 0)
+),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS text
+    FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes WHERE len(w) >= size)
+),
+found AS (SELECT p.r, p.size, p.i, x.item_id FROM places p JOIN windows x ON x.size = p.size AND x.text = p.text),
+hit AS (SELECT r, COUNT(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS place FROM (SELECT DISTINCT r, size, i FROM found)) GROUP BY r),
+listed AS (
+    SELECT r, COUNT(*) AS n_items, sha256(string_agg(name, ',' ORDER BY name)) AS items_sha256
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS name FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT d.doc_id, len(d.w) AS n_words, COALESCE(h.n_hit, 0) AS n_hit, COALESCE(l.n_items, 0) AS n_items,
+       COALESCE(l.items_sha256, sha256('')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN hit h ON h.r = d.r LEFT JOIN listed l ON l.r = d.r
+"""
