@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.llm import chat, classify, conversation_trie, decontamination, exact_dedup, language, mixing, near_dedup, packing, quality, toxicity, vector_dedup, warc
-from sluicebox.llm.text_sql import OP12_SQL, OP13_SQL
+from sluicebox.llm import chat, classify, conversation_trie, decontamination, exact_dedup, language, mixing, near_dedup, packing, quality, spelling, toxicity, vector_dedup, warc
+from sluicebox.llm.text_sql import OP11_SQL, OP12_SQL, OP13_SQL
 from sluicebox.llm.work import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -86,6 +86,11 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.mark_near_copies(_table(spark, sf_dir, "documents"), words=4)
 
 
+def op11_fm_index_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its nearest frequent spelling."""
+    return spelling.spelling_forms(_table(spark, sf_dir, "documents"))
+
+
 def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with what it shares with the benchmark."""
     return decontamination.mark_contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -215,6 +220,7 @@ QUERIES = {
     "op8_tool_calls": op8_tool_calls,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_fm_index_spelling": op11_fm_index_spelling,
     "op12_winnowing": op12_winnowing,
     "op13_conversation_trie": op13_conversation_trie,
 }
@@ -224,6 +230,7 @@ ORACLE_SQL = {
     "op7_pfair_mixing": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_minhash_dedup": OP10_SQL,
+    "op11_fm_index_spelling": OP11_SQL,
     "op12_winnowing": OP12_SQL,
     "op13_conversation_trie": OP13_SQL,
 }

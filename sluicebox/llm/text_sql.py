@@ -85,3 +85,45 @@ SELECT d.doc_id, len(d.w) AS n_words, COALESCE(h.n_hit, 0) AS n_hit, COALESCE(l.
        COALESCE(l.items_sha256, sha256('')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
 FROM docs d LEFT JOIN hit h ON h.r = d.r LEFT JOIN listed l ON l.r = d.r
 """
+
+OP11_SQL = rf"""
+WITH RECURSIVE {_CRC},
+runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+),
+counted AS (
+    SELECT doc_id, run, COUNT(*) AS k, hex(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || run) AS octets FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run
+),
+hashed AS (SELECT run, k, {_crc32("octets")} AS h FROM counted, crc),
+words AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, CAST(SUM(k) AS BIGINT) AS n
+    FROM hashed GROUP BY 1
+),
+vocabulary AS (SELECT word, n FROM words WHERE length(word) >= 7 AND n >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary),
+replaced AS (SELECT word, n, substr(word, 1, i - 1) || '?' || substr(word, i + 1) AS key FROM places),
+shorter AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS key FROM places),
+near AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM replaced a JOIN replaced b ON a.key = b.key AND a.word <> b.word
+    UNION
+    SELECT s.word, v.word, v.n FROM shorter s JOIN vocabulary v ON v.word = s.key
+    UNION
+    SELECT v.word, s.word, s.n FROM shorter s JOIN vocabulary v ON v.word = s.key
+),
+best AS (
+    SELECT word, near, near_n, COUNT(*) OVER (PARTITION BY word) AS n_near FROM near
+    QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1
+),
+forms AS (
+    SELECT v.word, v.n, COALESCE(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 10 * v.n THEN b.near END AS form,
+           CASE WHEN b.near_n >= 10 * v.n THEN b.near_n END AS form_n
+    FROM vocabulary v LEFT JOIN best b ON b.word = v.word
+),
+steps AS (
+    SELECT word, word AS root, form AS next FROM forms
+    UNION ALL
+    SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON f.word = s.next
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, s.root FROM forms f JOIN steps s ON s.word = f.word AND s.next IS NULL
+"""
