@@ -18,7 +18,7 @@ LEAST_ROWS = 20
 # A long text is learned from in so many slices.
 SLICES = 8
 # Characters of a sample that a model is fitted on at most.
-SAMPLE_TOTAL = 40_000_000
+SAMPLE_TOTAL = 24_000_000
 
 
 class Scorer(Protocol):
