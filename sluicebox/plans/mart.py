@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluicebox.config import ORDER_STATUSES
@@ -25,28 +25,32 @@ from sluicebox.sources.raw import RawTables, register_raw
 _STATUSES = ", ".join(f"'{status}'" for status in sorted(ORDER_STATUSES))
 
 
-def session_visits(traffic: DataFrame) -> DataFrame:
-    """Staged traffic by session and user: first and last view, first-touch source and device, distinct products.
+def session_visits(views: DataFrame) -> DataFrame:
+    """Staged views by session and user: first and last view, first-touch source and device, distinct products.
 
     First touch is the earliest view; of views at the same time, the one of the first product.
+
+    Views are first counted by session, user and all three labels, in hash tables, so that a hot session is as many rows as
+    it has different labels. Only these are sorted, and only twice: to number the products, and to find the first touch.
     """
-    product = F.col("product_id_viewed")
-    first = F.min(F.struct("timestamp", product.isNull().alias("no_product"), product, "traffic_source", "device"))
-    visits = traffic.groupBy("session_id", "user_id").agg(
-        F.min("timestamp").alias("first_seen_at"),
-        F.max("timestamp").alias("last_seen_at"),
-        first.alias("first"),
-        F.count_distinct(product).alias("products_viewed"),
+    product, session = F.col("product_id_viewed"), ("session_id", "user_id")
+    labelled = views.groupBy(*session, product, "traffic_source", "device").agg(
+        F.min("timestamp").alias("first_view"), F.max("timestamp").alias("last_view"), F.expr("max(int(timestamp IS NULL)) AS untimed")
     )
-    return visits.select(
-        "session_id",
-        "user_id",
-        "first_seen_at",
-        "last_seen_at",
-        F.col("first.traffic_source").alias("traffic_source"),
-        F.col("first.device").alias("device"),
-        "products_viewed",
+    # A view without a time comes before all others.
+    earliest = [F.desc("untimed"), F.expr("IF(untimed = 0, first_view, NULL)")]
+    order = [*earliest, product.asc_nulls_last(), "traffic_source", F.col("device").asc_nulls_last()]
+    whole = Window.partitionBy(*session)
+    numbered = labelled.withColumn("nth_product", F.dense_rank().over(whole.orderBy(product.asc_nulls_last())))
+    ranked = numbered.withColumn("nth", F.row_number().over(whole.orderBy(*order))).withColumns(
+        {
+            "first_seen_at": F.min("first_view").over(whole),
+            "last_seen_at": F.max("last_view").over(whole),
+            "products_viewed": F.coalesce(F.max(F.when(product.isNotNull(), F.col("nth_product"))).over(whole), F.lit(0)).cast("bigint"),
+        }
     )
+    first = ranked.where("nth = 1")
+    return first.select(*session, "first_seen_at", "last_seen_at", "traffic_source", "device", "products_viewed")
 
 
 def _cart_part(cart: DataFrame) -> DataFrame:

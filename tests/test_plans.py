@@ -11,7 +11,7 @@ import __spark_entry__ as entry_point
 from shop import nested_shop
 from sluicebox.operators.skew import unique_side, with_key_in
 from sluicebox.plans import reports, staging
-from sluicebox.plans.mart import fct_sessions
+from sluicebox.plans.mart import fct_sessions, session_visits
 from sluicebox.plans.quality import check_duplicate_traffic, check_orphan_orders
 from sluicebox.sources.raw import SCHEMAS, RawTables, load_raw
 from sluicebox.sources.sinks import read_mart, write_mart
@@ -76,6 +76,15 @@ def test_date_bounds_need_traffic_only(spark, stored):
     assert plan.count("FileScan") == 1 and "Join" not in plan
 
 
+def test_the_mart_aggregates_in_hash_tables(spark, stored):
+    """Beside the merging of copies, traffic is sorted twice, as labels of sessions instead of views."""
+    plan = plan_of(fct_sessions(stored))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    views, traffic = plan_of(staging.stg_traffic(stored.traffic_logs)), plan_of(session_visits(staging.stg_traffic(stored.traffic_logs)))
+    assert traffic.count("Sort [") == views.count("Sort [") + 2
+    assert traffic.rindex("Sort [") > traffic.index("HashAggregate")
+
+
 def test_headline_builds_the_mart_once(spark, stored):
     assert plan_of(reports.headline(fct_sessions(stored))).count("FileScan") == 4
     assert plan_of(reports.revenue_metrics(fct_sessions(stored))).count("FileScan") == 4
