@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,9 @@ from sluicebox.functions.rates import flag, threshold_status
 from sluicebox.operators.skew import unique_side
 from sluicebox.sources.raw import RawTables, key_columns
 
+# What Spark raises when a plan is made or run.
+_RUN_TIME_ERRORS = (PySparkException, Py4JJavaError)
+
 # Verdicts
 
 
@@ -363,25 +367,29 @@ def _order_checks(raw: RawTables) -> DataFrame:
     )
 
 
-def _error_row(spark_df: DataFrame, metric: str, error: Exception) -> DataFrame:
-    row = (metric, None, "count", "FAIL", f"Check error: {str(error).splitlines()[0]}")
-    schema = "Metric string, Value double, Unit string, Status string, Detail string"
-    return spark_df.sparkSession.createDataFrame([row], schema)
+_GROUPS = (
+    (_browsing_checks, (DUPLICATE_TRAFFIC, DUPLICATE_CART, MISSING_SOURCE, ORPHAN_CART)),
+    (_order_checks, (NEGATIVE_REVENUE, INVALID_STATUS, ORPHAN_ORDERS, DUPLICATE_ORDER_IDS, PURCHASE_BEFORE_CHECKOUT)),
+)
+_REPORT_SCHEMA = "Metric string, Value double, Unit string, Status string, Detail string"
+
+
+def _error_row(metric: str, error: Exception) -> tuple:
+    """A FAIL with the first line of what went wrong."""
+    text = error.java_exception.getMessage() if isinstance(error, Py4JJavaError) else str(error)
+    return metric, None, "count", "FAIL", f"Check error: {(text or type(error).__name__).splitlines()[0]}"
 
 
 def run_all_checks(raw: RawTables) -> DataFrame:
-    """The nine checks as one report in fixed order.
+    """The nine checks as one report in fixed order, not evaluated yet.
 
     A check that cannot run on these tables, for want of a column or because values are not of their kind, is reported as
-    a FAIL row and leaves the others as they are.
+    a FAIL row and leaves the others as they are. For errors that only show when a table is read, such as a damaged file,
+    see ``report_despite_errors``.
     """
     singles = _single_checks(raw)
-    groups = (
-        (_browsing_checks, (DUPLICATE_TRAFFIC, DUPLICATE_CART, MISSING_SOURCE, ORPHAN_CART)),
-        (_order_checks, (NEGATIVE_REVENUE, INVALID_STATUS, ORPHAN_ORDERS, DUPLICATE_ORDER_IDS, PURCHASE_BEFORE_CHECKOUT)),
-    )
     parts: list[DataFrame] = []
-    for group, metrics in groups:
+    for group, metrics in _GROUPS:
         try:
             parts.append(group(raw))
         except AnalysisException:
@@ -389,7 +397,31 @@ def run_all_checks(raw: RawTables) -> DataFrame:
                 try:
                     parts.append(singles[metric]())
                 except AnalysisException as error:
-                    parts.append(_error_row(raw.orders, metric, error))
+                    parts.append(raw.orders.sparkSession.createDataFrame([_error_row(metric, error)], _REPORT_SCHEMA))
     rows = reduce(DataFrame.unionByName, parts)
     position = F.array_position(F.array(*[F.lit(metric) for metric in REPORT_ORDER]), F.col("Metric"))
     return rows.orderBy(position).select(*REPORT_COLUMNS)
+
+
+def report_despite_errors(raw: RawTables) -> DataFrame:
+    """The report of ``run_all_checks``, evaluated, whatever goes wrong while a table is read.
+
+    As long as nothing fails it is the one job of that report. Else each group of checks runs alone, and the checks of a
+    group that fails one by one: those that don't need what is broken give their values, the others a FAIL row with the
+    error.
+    """
+    try:
+        rows = [tuple(row) for row in run_all_checks(raw).collect()]
+    except _RUN_TIME_ERRORS:
+        singles, found = _single_checks(raw), {}
+        for group, metrics in _GROUPS:
+            try:
+                found |= {row.Metric: tuple(row) for row in group(raw).collect()}
+            except _RUN_TIME_ERRORS:
+                for metric in metrics:
+                    try:
+                        found[metric] = tuple(singles[metric]().first())
+                    except _RUN_TIME_ERRORS as error:
+                        found[metric] = _error_row(metric, error)
+        rows = [found[metric] for metric in REPORT_ORDER]
+    return raw.orders.sparkSession.createDataFrame(rows, _REPORT_SCHEMA)

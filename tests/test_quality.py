@@ -221,3 +221,42 @@ def test_raw_validation(spark):
 
 def test_raw_validation_of_empty_tables(spark):
     assert [tuple(row)[1:] for row in raw_funnel_validation(shop(spark)).collect()] == [(0, None, "0.00%")] + [(0, "0.00%", "0.00%")] * 4
+
+
+def _two_files_each(spark, folder, raw):
+    for name, table in raw.items():
+        table.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+        table.coalesce(1).write.mode("append").parquet(f"{folder}/{name}.parquet")
+
+
+@pytest.mark.parametrize("broken", ["traffic_logs", "cart_actions", "checkout_events", "orders"])
+def test_a_damaged_file_fails_the_checks_that_read_it_only(spark, tmp_path, broken):
+    readers = {
+        "traffic_logs": {"Duplicate traffic rows", "Missing traffic source", "Cart events without session"},
+        "cart_actions": {"Duplicate cart rows", "Cart events without session"},
+        "checkout_events": {"Orders without checkout", "Purchase before checkout"},
+        "orders": {"Negative revenue", "Invalid order status", "Orders without checkout", "Duplicate order IDs", "Purchase before checkout"},
+    }
+    _two_files_each(spark, tmp_path, nested_shop(spark))
+    raw = load_raw(spark, str(tmp_path))
+    expected = {row.Metric: tuple(row) for row in quality.run_all_checks(raw).collect()}
+    last = sorted((tmp_path / f"{broken}.parquet").glob("part-*"))[-1]
+    last.write_bytes(last.read_bytes()[:40])
+    for crc in (tmp_path / f"{broken}.parquet").glob(".*.crc"):
+        crc.unlink()
+    rows = [tuple(row) for row in quality.report_despite_errors(raw).collect()]
+    assert [row[0] for row in rows] == list(REPORT_ORDER)
+    failed = {row[0] for row in rows if row[1] is None}
+    assert failed == readers[broken]
+    for row in rows:
+        if row[0] in failed:
+            assert row[3] == "FAIL" and row[4].startswith("Check error: ") and "\n" not in row[4]
+        else:
+            assert row == expected[row[0]]
+
+
+def test_a_report_without_errors_is_one_job(spark, monkeypatch):
+    raw = nested_shop(spark)
+    expected = quality.run_all_checks(raw).collect()
+    monkeypatch.setattr(quality, "_single_checks", lambda raw: {})
+    assert quality.report_despite_errors(raw).collect() == expected
