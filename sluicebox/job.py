@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluicebox.config import DEFAULT_RELATIVE_IMPROVEMENT
 from sluicebox.plans.mart import fct_sessions
-from sluicebox.plans.quality import run_all_checks
+from sluicebox.plans.quality import report_despite_errors
 from sluicebox.plans.tables import headline_report
 from sluicebox.plans.validation import raw_funnel_validation
 from sluicebox.session import build_session, unsized_shuffles
-from sluicebox.sources.event_log import load_event_log
+from sluicebox.sources.event_log import stage_event_log
 from sluicebox.sources.raw import RawTables, load_raw
 from sluicebox.sources.sinks import read_mart, write_mart, write_report_csv
 
@@ -23,7 +23,7 @@ def run(spark: SparkSession, raw: RawTables, out_dir: str, relative_improvement:
     The mart is computed once, and everything after it reads the stored table: later queries on it, filtered or not,
     need no raw data, and a lost executor costs the tasks it ran, not the way from raw events to the mart.
     """
-    write_report_csv(run_all_checks(raw), f"{out_dir}/data_quality_report")
+    write_report_csv(report_despite_errors(raw), f"{out_dir}/data_quality_report")
     write_report_csv(raw_funnel_validation(raw), f"{out_dir}/funnel_validation")
     write_mart(fct_sessions(raw), f"{out_dir}/fct_sessions")
     headline = headline_report(read_mart(spark, f"{out_dir}/fct_sessions"), relative_improvement)
@@ -39,8 +39,11 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--relative-improvement", type=float, default=DEFAULT_RELATIVE_IMPROVEMENT)
     options = parser.parse_args(arguments)
     spark = build_session("sluicebox job")
-    load = load_event_log if options.event_log else load_raw
-    run(spark, load(spark, options.in_dir), options.out_dir, options.relative_improvement).show(truncate=False)
+    if options.event_log:
+        raw = stage_event_log(spark, options.in_dir, f"{options.out_dir}/raw")
+    else:
+        raw = load_raw(spark, options.in_dir)
+    run(spark, raw, options.out_dir, options.relative_improvement).show(truncate=False)
     unsized_shuffles(spark)
 
 

@@ -7,10 +7,12 @@ a defect where the rules ask for one; none of them drops a row.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicebox.session import size_shuffles
-from sluicebox.sources.raw import RawTables, read_parquet
+from sluicebox.sources.raw import SCHEMAS, RawTables, read_parquet
+from sluicebox.sources.sinks import publish, read_published
 
 EVENTS_SCHEMA = T.StructType(
     [
@@ -100,3 +102,46 @@ def shop_tables(events: DataFrame) -> RawTables:
         checkout_events=base.where(f"event_type = '{_CHECKOUT_TYPE}'").selectExpr(*_CHECKOUT),
         orders=base.where(f"event_type = '{_ORDER_TYPE}'").selectExpr(*_ORDERS),
     )
+
+
+_COLUMNS = {"traffic_logs": _TRAFFIC, "cart_actions": _CART, "checkout_events": _CHECKOUT, "orders": _ORDERS}
+_TYPES = {_CART_TYPE: "cart_actions", _CHECKOUT_TYPE: "checkout_events", _ORDER_TYPE: "orders"}
+# The tag that tells in which table a stored row belongs.
+_TAG = "raw_table"
+
+
+def _named(column: str) -> tuple[str, str]:
+    """The name of a column above, and its expression."""
+    expression, _, name = column.rpartition(" AS ")
+    return name, expression or name
+
+
+def tagged_events(events: DataFrame) -> DataFrame:
+    """The rows of all raw tables from one pass over the events, each with the name of its table.
+
+    A column that several tables have has the value of the row's own table; one that it doesn't have is NULL.
+    """
+    kinds = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in _TYPES.items())
+    tag = f"CASE event_type {kinds} ELSE 'traffic_logs' END"
+    copies = "CASE raw_table WHEN 'traffic_logs' THEN IF(event_id % 83 = 0, 2, 1) WHEN 'cart_actions' THEN IF(event_id % 56 = 0, 2, 1) ELSE 1 END"
+    base = events.selectExpr(*_BASE).selectExpr("*", f"{tag} AS {_TAG}")
+    base = base.selectExpr("*", f"explode(array_repeat(1, {copies})) AS copy")
+    found: dict[str, list[str]] = {}
+    for table, columns in _COLUMNS.items():
+        for name, expression in map(_named, columns):
+            found.setdefault(name, []).append(f"WHEN '{table}' THEN {expression}")
+    return base.selectExpr(_TAG, *[f"CASE {_TAG} {' '.join(cases)} END AS {name}" for name, cases in found.items()])
+
+
+def stage_event_log(spark: SparkSession, directory: str, path: str) -> RawTables:
+    """Store the raw tables of an event log below ``path``, from one pass over it, and read them from there.
+
+    Each table is a folder of its own, so a query reads the tables and columns it needs, and the events are taken apart
+    only once however many queries follow.
+    """
+    source = f"{directory}/events.parquet"
+    size_shuffles(spark, source)
+    tagged = tagged_events(read_parquet(spark, source, EVENTS_SCHEMA))
+    publish(tagged, path, lambda df, to: df.write.partitionBy(_TAG).parquet(to))
+    stored = read_published(spark, path)
+    return RawTables(**{table: stored.where(F.col(_TAG) == table).select(*SCHEMAS[table].names) for table in _COLUMNS})

@@ -1,5 +1,5 @@
 import csv
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pandas as pd
@@ -15,9 +15,18 @@ from sluicebox.plans.mart import fct_sessions
 from sluicebox.plans.quality import check_duplicate_traffic
 from sluicebox.plans.staging import stg_traffic
 from sluicebox.session import partitions_for, size_shuffles, unsized_shuffles
-from sluicebox.sources.event_log import EVENTS_SCHEMA, load_event_log, shop_tables
+from sluicebox.sources.event_log import EVENTS_SCHEMA, load_event_log, shop_tables, stage_event_log, tagged_events
 from sluicebox.sources.raw import SCHEMAS, load_raw, read_parquet
-from sluicebox.sources.sinks import read_mart, write_mart, write_parquet, write_report_csv
+from sluicebox.sources.models import register_sql_models
+from sluicebox.sources.sinks import (
+    read_mart,
+    read_published,
+    remove_old_versions,
+    write_csv_file,
+    write_mart,
+    write_parquet,
+    write_report_csv,
+)
 from sluicebox.sources.sql import query, run_sql_file
 
 # By folder: rows of the four tables.
@@ -116,7 +125,7 @@ def test_sinks_and_sql(spark, tmp_path):
     write_report_csv(report, f"{tmp_path}/deep/report")
     assert _csv(f"{tmp_path}/deep/report") == [["name", "value", "text"], ["b", "", ""], ["a", "1.5", 'say "x", y']]
     write_parquet(report, f"{tmp_path}/deep/table")
-    assert read_parquet(spark, f"{tmp_path}/deep/table").count() == 2
+    assert read_published(spark, f"{tmp_path}/deep/table").count() == 2
     report.createOrReplaceTempView("report")
     assert query(spark, "SELECT name FROM report WHERE value > :least", {"least": 1}).first().name == "a"
     sql = tmp_path / "count.sql"
@@ -231,3 +240,79 @@ def test_job_command_on_an_event_log(spark, tmp_path, capfd):
 def test_one_row_per_session_on_the_event_log(spark, folder):
     mart = fct_sessions(load_event_log(spark, f"/root/testdata/{folder}"))
     assert mart.count() == mart.select("session_id").distinct().count()
+
+
+def test_a_failed_write_leaves_the_last_table(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    rows = spark.range(10)
+    write_parquet(rows, path)
+    with pytest.raises(Exception, match="broken"):
+        write_parquet(rows.select(F.when(F.col("id") == 9, F.raise_error(F.lit("broken"))).alias("id")), path)
+    assert read_published(spark, path).count() == 10
+    write_parquet(rows.limit(3), path)
+    assert read_published(spark, path).count() == 3
+
+
+def test_old_versions_are_removed_but_not_the_last(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    for n in (1, 2, 3):
+        write_parquet(spark.range(n), path)
+    versions = {folder.name for folder in Path(path).glob("version-*")}
+    assert len(versions) == 3 and remove_old_versions(spark, path, timedelta(hours=1)) == []
+    removed = remove_old_versions(spark, path, timedelta(seconds=-5))
+    assert len(removed) == 2 and set(removed) < versions
+    assert {folder.name for folder in Path(path).glob("version-*")} == versions - set(removed)
+    assert read_published(spark, path).count() == 3
+
+
+def test_a_report_as_one_file(spark, tmp_path):
+    path = tmp_path / "deep" / "report.csv"
+    for n in (2, 1):
+        write_csv_file(spark.range(n).selectExpr("id", "'a, b' AS text"), str(path))
+    assert path.read_text().splitlines() == ["id,text", '0,"a, b"']
+    assert [p.name for p in path.parent.iterdir() if not p.name.endswith(".crc")] == ["report.csv"]
+
+
+def _models(folder, **files):
+    folder.mkdir()
+    for name, sql in files.items():
+        (folder / f"{name}.sql").write_text(sql, encoding="utf-8")
+    return folder
+
+
+def test_sql_models_in_any_order(spark, tmp_path):
+    spark.range(5).createOrReplaceTempView("numbers")
+    spark.range(99).createOrReplaceTempView("b_even")  # an old view that the folder replaces
+    folder = _models(
+        tmp_path / "models",
+        a_sum="-- last\nSELECT sum(id) AS s FROM c_both;\n",
+        b_even="SELECT id FROM numbers WHERE id % 2 = 0",
+        c_both="SELECT id FROM b_even UNION ALL SELECT id FROM numbers",
+    )
+    assert register_sql_models(spark, folder) == ["b_even", "c_both", "a_sum"]
+    assert spark.table("a_sum").first().s == 6 + 10
+    assert register_sql_models(spark, folder) == ["b_even", "c_both", "a_sum"]
+    assert register_sql_models(spark, _models(tmp_path / "none")) == []
+
+
+def test_sql_models_that_cannot_be_built(spark, tmp_path):
+    circle = _models(tmp_path / "circle", x1="SELECT * FROM x2", x2="SELECT * FROM x1", x3="SELECT 1 AS one")
+    with pytest.raises(ValueError, match="circle: x1, x2"):
+        register_sql_models(spark, circle)
+    with pytest.raises(ValueError, match="circle: y"):
+        register_sql_models(spark, _models(tmp_path / "own", y="SELECT * FROM y"))
+    with pytest.raises(AnalysisException, match="nowhere"):
+        register_sql_models(spark, _models(tmp_path / "missing", z1="SELECT * FROM z2", z2="SELECT * FROM nowhere"))
+    with pytest.raises(AnalysisException, match="no_such_column"):
+        register_sql_models(spark, _models(tmp_path / "wrong", w="SELECT no_such_column FROM range(1)"))
+
+
+def test_staged_event_log_is_the_event_log_from_one_pass(spark, tmp_path):
+    path = "/root/testdata/sf0.001"
+    plan = tagged_events(read_parquet(spark, f"{path}/events.parquet", EVENTS_SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    staged = stage_event_log(spark, path, f"{tmp_path}/raw")
+    for (name, table), (_, expected) in zip(staged.items(), load_event_log(spark, path).items(), strict=True):
+        assert table.schema.simpleString() == expected.select(*table.columns).schema.simpleString(), name
+        assert sorted(table.collect(), key=str) == sorted(expected.select(*table.columns).collect(), key=str), name
+    assert "PartitionFilters: [isnotnull(raw_table" in staged.orders._jdf.queryExecution().executedPlan().toString()
