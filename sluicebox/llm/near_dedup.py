@@ -34,8 +34,9 @@ BANDS, ROWS = 30, 5
 LEAST_ESTIMATE = 0.66
 # Rounds in which the nodes outside a bucket's largest component are compared with so many nodes of it.
 ROUNDS, CENTRES = 1, 6
-# Nodes in one side of a block.
+# Nodes in one side of a block, and bytes of their sets that a task holds.
 BLOCK = 2048
+BLOCK_BYTES = 32 << 20
 # A document's shingles are hashed in runs of so many, which bounds the memory for very long texts.
 _RUN = 1 << 13
 # Rows that Python gets at a time; those with texts or sets are large.
@@ -117,18 +118,22 @@ def _features(docs: DataFrame, words: int) -> DataFrame:
                 yield doc, len(shingles), None, None, None
                 continue
             minima = signature(shingles)
-            digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-            yield doc, len(shingles), digest, band_hashes(minima), minima.astype(np.uint8).tobytes()
+            yield doc, len(shingles), _digest(shingles), band_hashes(minima), minima.astype(np.uint8).tobytes()
 
     return _arrow_map(docs, rows, "id long, n_shingles long, digest binary, bands array<long>, signature binary")
 
 
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """The sets of some texts, once each, and their digests."""
+
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        sets = shingle_sets(batch.column(1).to_pylist(), words)
-        return ((doc, x.tobytes()) for doc, x in zip(batch.column(0).to_pylist(), sets, strict=True))
+        return ((_digest(x), x.tobytes()) for x in shingle_sets(batch.column(0).to_pylist(), words))
 
-    return _arrow_map(docs, rows, "id long, shingles binary")
+    return _arrow_map(docs.select("text"), rows, "digest binary, shingles binary").dropDuplicates(["digest"])
 
 
 def _similar(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
@@ -280,26 +285,38 @@ def _confirmed_lists(lists: DataFrame, nodes: DataFrame, sets: DataFrame, percen
     return placed.mapInArrow(run, "a long, b long")
 
 
+def _of_one_id(features: DataFrame, of_digest: DataFrame) -> DataFrame:
+    """Links between the nodes of ids that occur with several sets, from each to the smallest."""
+    hashed = features.where("digest IS NOT NULL").select("id", "digest", F.xxhash64("digest").alias("hash"))
+    several = unique_side(hashed, "id", F.min("hash").alias("low"), F.max("hash").alias("high")).where("low < high").select("id")
+    found = hashed.join(several, "id").select("id", "digest").join(of_digest.select("digest", "node"), "digest").select("id", "node")
+    least = unique_side(found, "id", F.min("node").alias("a"))
+    return found.join(least, "id").where("a < node").select("a", F.col("node").alias("b")).distinct()
+
+
 def _written(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Written tables: the documents' features, the node of each digest, and the components of the nodes."""
+    """Written tables: the documents' features; the node and smallest id of each digest; the components of the nodes.
+
+    A node is a number that its digest gets when the table of digests is written, as ids may repeat with other texts.
+    """
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     features = stored(_features(source, words), "features")
-    of_digest = unique_side(features.where("digest IS NOT NULL"), "digest", F.min("id").alias("node"))
-    of_digest = stored(of_digest, "nodes")
-    nodes = features.join(of_digest.select(F.col("node").alias("id"), "digest"), ["id", "digest"]).dropDuplicates(["id", "digest"])
-    nodes = stored(nodes.select("id", "bands", "signature"), "signatures")
+    of_digest = unique_side(features.where("digest IS NOT NULL"), "digest", F.min("id").alias("id"))
+    of_digest = stored(of_digest.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = features.join(of_digest, ["id", "digest"]).select(F.col("node").alias("id"), "bands", "signature").dropDuplicates(["id"])
+    nodes = stored(nodes, "signatures")
     buckets = nodes.select("id", F.explode("bands").alias("band"))
-    # A node has more than one signature only where rows repeat an id.
     signatures = nodes.select("id", "signature")
 
     ends = unique_side(buckets, "band", F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     # Only the buckets of several nodes are looked at again.
     members = stored(buckets.join(ends, "band"), "buckets")
     # So only their texts are read into sets again. Joined in the same way at every size.
-    several = members.select("id").distinct().hint("merge")
-    sets = stored(_sets(source.join(several, "id", "left_semi"), words).dropDuplicates(["id"]), "shingles")
+    several = members.select(F.col("id").alias("node")).distinct().join(of_digest, "node").hint("merge")
+    sets = _sets(source.join(several, "id", "left_semi"), words).join(several.select("digest", F.col("node").alias("id")), "digest")
+    sets = stored(sets.select("id", "shingles"), "shingles")
     members, pairs = members.select("band", "id"), _to_ends(members)
-    links = stored(_confirmed(stored(_similar(pairs, signatures), "pairs"), sets, percent), "links")
+    links = stored(_confirmed(stored(_similar(pairs, signatures), "pairs"), sets, percent).union(_of_one_id(features, of_digest)), "links")
     found = components(links)
     for k in range(ROUNDS):
         pairs = _to_centres(_open(members, found, k * CENTRES))
@@ -307,13 +324,20 @@ def _written(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
         found = components(links.union(found.select("node", "component")))
     left = stored(_open(members, found, 0).select("band", "id", "component", "main"), "open")
     ids = left.select("id").distinct()
-    parts = 1 + ids.count() // BLOCK
+    parts = _parts(sets.join(ids, "id", "left_semi"))
     lists = stored(_rest(left, nodes, parts), "partners")
     links = stored(_confirmed_lists(lists, ids, sets, percent, parts), "links")
     found = components(links.union(found.select("node", "component")))
     return features, of_digest, found
 
 
+def _parts(sets: DataFrame) -> int:
+    """In how many parts the nodes of some sets are held in memory: by their number and by their bytes."""
+    size = sets.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("shingles")), F.lit(0)).alias("bytes")).first()
+    spread = min(sets.sparkSession.sparkContext.defaultParallelism, size.n // 256)
+    return max(1 + size.n // BLOCK, 1 + size.bytes // BLOCK_BYTES, spread)
+
+
 def mark_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -327,8 +351,10 @@ def mark_near_copies(
     """
     with small_batches(docs.sparkSession, BATCH_ROWS):
         features, of_digest, found = _written(docs, id_col, text_col, words, percent)
-    reps = of_digest.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    marked = features.where("digest IS NOT NULL").join(unique_side(reps, "digest", F.min("component").alias("component")), "digest")
+    reps = of_digest.join(found, "node", "left").select("digest", "id", F.coalesce("component", "node").alias("component"))
+    least = unique_side(reps, "component", F.min("id").alias("least"))
+    reps = unique_side(reps.join(least, "component"), "digest", F.min("least").alias("component"))
+    marked = features.where("digest IS NOT NULL").join(reps, "digest")
     alone = features.where("digest IS NULL").withColumn("component", F.col("id"))
     both = marked.select("id", "n_shingles", "component").union(alone.select("id", "n_shingles", "component"))
     return both.select(

@@ -87,6 +87,23 @@ def test_edges(spark):
     assert mark_near_copies(df.limit(0)).collect() == [] and drop_near_copies(df.limit(0)).collect() == []
 
 
+def test_ids_with_several_texts_lose_no_link(spark):
+    """Whatever the order of the rows; the texts of one id count as linked."""
+    draw = np.random.default_rng(5)
+    base = [" ".join(f"w{x}" for x in draw.integers(0, 500, 200)) for _ in range(4)]
+    rows = [(1, base[0]), (1, base[1]), (5, base[0] + " x"), (6, base[1] + " x"), (7, base[2]), (9, base[3]), (9, base[2] + " x"), (10, base[3] + " y")]
+    rows += [(12, "other text alone in here"), (12, None), (13, None), (5, base[0] + " x")]
+    for seed in range(2):
+        some = [rows[i] for i in np.random.default_rng(seed).permutation(len(rows))]
+        found = mark_near_copies(spark.createDataFrame(some, "doc_id long, text string").repartition(3)).collect()
+        assert len(found) == len(rows)
+        components_of = {}
+        for row in found:
+            components_of.setdefault(row.doc_id, set()).add(row.component_id)
+            assert row.kept == (row.doc_id == row.component_id)
+        assert components_of == {1: {1}, 5: {1}, 6: {1}, 7: {7}, 9: {7}, 10: {7}, 12: {12}, 13: {13}}
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     draw = np.random.default_rng(8)
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, k) for k in range(200, 260)] + [(300, 301), (301, 302), (302, 300), (5, 5)]
