@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +20,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from sluicebox.llm.classify import spread
 from sluicebox.llm.hashing import batches
 
 BUCKETS = 1 << 12
 ORDERS = (1, 2, 3)
 CENTROIDS = 4
 ROUNDS = 10
-# The centroids are fitted on at most so many texts of a language, those whose ids hash lowest, of at most so many
-# characters.
+# The centroids are fitted on at most so many texts of a language, those whose ids hash lowest; longer texts than this are
+# learned from in slices spread over the whole text. Many languages share SAMPLE_TOTAL texts, with LEAST_ROWS each at least.
 SAMPLE_ROWS = 1_500
 SAMPLE_CHARS = 20_000
+SAMPLE_TOTAL = 24_000
+LEAST_ROWS = 50
+MOST_LANGUAGES = 500
 # Share of a language's sample that is farther away than what is accepted.
 REJECTED = 0.001
 UNKNOWN = "und"
@@ -141,40 +146,47 @@ def _rarity(texts: DataFrame) -> np.ndarray:
 
 
 def fit_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", language_col: str = "lang") -> LanguageModel:
-    """Fit on the rows that may be learned from: rarities on all of them, centroids on a bounded sample."""
+    """Fit on the rows that may be learned from: rarities on all of them, centroids on a bounded sample of each language.
+
+    A language is clustered in one task, and the driver gets the centroids. Of more than MOST_LANGUAGES different values
+    the most frequent are learned. A language whose sample has no letter is not learned.
+    """
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{language_col}`").cast("string").alias("lang")
     ).where(learned_from(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     weights = _rarity(rows)
-    # Long texts are left out, but of a language without any other their beginnings are learned from.
-    is_short = F.length("text") <= SAMPLE_CHARS
-    kinds = rows.groupBy("lang").agg(F.max(is_short).alias("has_short")).collect()
-    only_long = [row.lang for row in kinds if not row.has_short]
-    short = rows.where(is_short | F.col("lang").isin(only_long)).withColumn("text", F.substring("text", 1, SAMPLE_CHARS))
-    # One row for each language. Hashes below a bound drawn from the counts hold about twice the sample, so that a common
-    # language does not come together in one task; the lowest of them are taken.
-    totals = {row.lang: row.n for row in short.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # Hashes below a bound drawn from the counts hold about twice the sample, so that a common language does not come
+    # together in one task; the lowest of them are taken.
+    counted = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    totals = {row.lang: row.n for row in counted.collect()}
     if not totals:
         return LanguageModel(weights, np.zeros((0, BUCKETS)), [], np.zeros(0, dtype=np.int64), np.zeros(0))
-    share = F.create_map(*[F.lit(x) for lang, n in totals.items() for x in (lang, 2 * SAMPLE_ROWS / n)])[F.col("lang")]
-    hashed = short.select("id", "lang", F.xxhash64("id").alias("hash"))
+    most = min(SAMPLE_ROWS, max(LEAST_ROWS, SAMPLE_TOTAL // len(totals)))
+    share = F.create_map(*[F.lit(x) for lang, n in totals.items() for x in (lang, 2 * most / n + 10 / n)])[F.col("lang")]
+    hashed = rows.select("id", "lang", F.xxhash64("id").alias("hash"))
     low = hashed.where(F.col("hash") / F.lit(2.0**64) + 0.5 < share)
     order = Window.partitionBy("lang").orderBy("hash", "id")
-    sample = low.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_ROWS).select("id", "lang").distinct()
-    found = short.join(F.broadcast(sample), ["id", "lang"]).dropDuplicates(["id", "lang"]).collect()
-    centroids, owners, least, languages = [], [], [], []
-    for language in sorted({row.lang for row in found}):
-        texts = [row.text for row in sorted(found, key=lambda row: row.id) if row.lang == language and _LETTER.search(row.text)]
-        if not texts:
-            continue
-        x = np.concatenate([vectors(some, weights).astype(np.float32) for some in counts(texts)])
-        own = cluster(x, CENTROIDS)
-        least.append(float(np.quantile((x @ own.T).max(axis=1), REJECTED)))
-        centroids.append(own)
-        owners += [len(languages)] * len(own)
-        languages.append(language)
+    sample = low.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most).select("id", "lang").distinct()
+    slices = rows.select("id", "lang", spread(F.col("text"), SAMPLE_CHARS).alias("text"))
+    found = slices.join(F.broadcast(sample), ["id", "lang"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
+    placed = found.repartition(len(totals), "lang").sortWithinPartitions("lang", "id").select("lang", "text")
+    schema = pa.schema([("lang", pa.string()), ("centroids", pa.binary()), ("least", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = (pair for batch in batches for pair in zip(*[c.to_pylist() for c in batch.columns], strict=True))
+        for lang, some in groupby(pairs, key=lambda pair: pair[0]):
+            texts = [text for _, text in some if _LETTER.search(text)]
+            if texts:
+                x = np.concatenate([vectors(part, weights).astype(np.float32) for part in counts(texts)])
+                own = cluster(x, CENTROIDS)
+                least = float(np.quantile((x @ own.T).max(axis=1), REJECTED))
+                yield pa.RecordBatch.from_pylist([{"lang": lang, "centroids": own.tobytes(), "least": least}], schema=schema)
+
+    models = sorted(placed.mapInArrow(run, "lang string, centroids binary, least double").collect())
+    centroids = [np.frombuffer(row.centroids, np.float32).reshape(-1, BUCKETS) for row in models]
+    owners = np.repeat(np.arange(len(models)), [len(own) for own in centroids]) if models else np.zeros(0, dtype=np.int64)
     stacked = np.concatenate(centroids) if centroids else np.zeros((0, BUCKETS))
-    return LanguageModel(weights, stacked, languages, np.array(owners, dtype=np.int64), np.array(least))
+    return LanguageModel(weights, stacked, [row.lang for row in models], owners, np.array([row.least for row in models]))
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

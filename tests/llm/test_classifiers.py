@@ -157,3 +157,39 @@ def test_language_of_long_texts_only(spark):
     found = language.identify(docs, language.fit_on(docs)).collect()
     assert min(len(text) for _, lang, text in rows if lang == "xx") > language.SAMPLE_CHARS
     assert all(row.lang_pred == row.lang for row in found)
+
+
+def test_a_few_short_noisy_texts_do_not_stand_for_a_language(spark, monkeypatch):
+    """Long texts are learned from beside short ones, and only the most frequent languages are."""
+    monkeypatch.setattr(language, "SAMPLE_CHARS", 400)
+    rows = [(i, "xx", f"zorg blik wumpa {i} " * 60) for i in range(300)] + [(400 + i, "xx", "the cat sat") for i in range(3)]
+    rows += [(500 + i, "yy", f"the cat sat on a mat {i}") for i in range(100)] + [(900 + i, f"z{i}", "vrum") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    model = language.fit_on(docs)
+    assert model.languages == ["xx", "yy"]
+    found = [row.lang_pred for row in language.identify(docs, model).collect() if row.doc_id < 300]
+    assert np.mean([lang == "xx" for lang in found]) > 0.95
+
+
+def test_nearest_centroid_equals_a_plain_loop(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.fit_on(docs)
+    for row in language.identify(docs, model).limit(40).collect():
+        grams = np.zeros(language.BUCKETS)
+        symbols = [32, *[int(language._KEPT[b]) for b in (row.text or "").lower().encode()], 32]
+        for order in language.ORDERS:
+            for i in range(len(symbols) - order + 1):
+                part = symbols[i : i + order]
+                if part[0] == 32 and part[-1] == 32:
+                    continue
+                gram = 0
+                for symbol in part:
+                    gram = (gram * 256 + symbol) % 2**32
+                grams[((gram * language._FACTORS[order - 1] + order) * 0x27D4EB2F % 2**32) >> 20] += 1
+        x = [np.log1p(n) * w for n, w in zip(grams, model.weights, strict=True)]
+        length = sum(v * v for v in x) ** 0.5 or 1.0
+        cosines = [sum(a * b for a, b in zip(x, c, strict=True)) / length for c in model.centroids]
+        best = int(np.argmax(cosines))
+        if row.lang_pred != "und":
+            assert row.lang_pred == model.languages[model.owners[best]] and row.score == pytest.approx(cosines[best], abs=1e-5)
