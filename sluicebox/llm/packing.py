@@ -1,10 +1,11 @@
 """Documents cut and packed into training sequences by harmonic classes.
 
-Class ``k`` holds pieces of length ``capacity / k`` and its sequences take exactly ``k`` of them, for ``k`` = 1, 2, 4 and
-so on. A document is cut into pieces of these lengths, the longest first, so full sequences have no padding. Every task
-fills its own sequences and only keeps the pieces of the one open sequence of each class (fewer than ``2 * capacity``
-pieces), so nothing is shuffled. What is left open at the end of a task becomes sequences of 1, 2, 4 ... pieces, whose
-lengths are powers of two and need no padding either.
+Class ``k`` holds lengths above ``capacity / (k + 1)`` and up to ``capacity / k``, and its sequences take exactly ``k`` of
+them. A document fills whole sequences first; what remains of it goes into its class in one piece. The room that a closed
+sequence has left is filled by the documents that come next, which are the only ones cut, so full sequences have no
+padding. Every task fills its own sequences and only keeps the pieces of the one open sequence of each class, so nothing
+is shuffled. What is left open at the end of a task is put together to full sequences and the last of it cut into powers
+of two, which need no padding either.
 """
 
 from __future__ import annotations
@@ -113,43 +114,82 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def piece_lengths(tokens: int, capacity: int) -> Iterator[int]:
-    """Lengths of a document's pieces: full sequences, then the powers of two that make up the rest."""
-    for _ in range(tokens // capacity):
-        yield capacity
-    rest, size = tokens % capacity, capacity // 2
-    while rest:
-        if rest >= size:
-            yield size
-            rest -= size
-        size //= 2
+# A piece: document, the place of its first id, its ids as bytes, and how many ids the document has.
+Piece = tuple[object, int, bytes, int]
+
+
+def _cut(piece: Piece, tokens: int) -> tuple[Piece, Piece | None]:
+    """The first ids of a piece, and the rest of it."""
+    doc, start, ids, total = piece
+    rest = ids[4 * tokens :]
+    return (doc, start, ids[: 4 * tokens], total), (doc, start + tokens, rest, total) if rest else None
 
 
 class Bins:
-    """The open sequence of each class in one task."""
+    """The open sequence of each class in one task, and the closed one that has room left, of which there is one at most."""
 
     def __init__(self, capacity: int, first: int):
         self.capacity, self.next = capacity, first
-        self.open: dict[int, list] = {}
+        self.open: dict[int, list[Piece]] = {}
+        self.waiting: tuple[int, int, list[Piece], int] | None = None
 
-    def _close(self, pieces: list, size: int) -> Iterator[tuple]:
-        for place, piece in enumerate(pieces):
-            yield (*piece, self.next, place * size, len(pieces) * size)
+    def _sequence(self) -> int:
         self.next += 1
-
-    def add(self, piece: tuple, size: int) -> Iterator[tuple]:
-        pieces = self.open.setdefault(size, [])
+        return self.next - 1
+
+    def _placed(self, sequence: int, k: int, pieces: list[Piece]) -> Iterator[tuple]:
+        offset, length = 0, sum(len(piece[2]) // 4 for piece in pieces)
+        for nth, piece in enumerate(pieces):
+            yield piece, sequence, offset, length, k, nth >= k > 0
+            offset += len(piece[2]) // 4
+
+    def add(self, doc: object, ids: bytes) -> Iterator[tuple]:
+        """Pieces with sequence, offset, the sequence's length and class, and whether the piece fills up a closed one."""
+        piece: Piece | None = (doc, 0, ids, len(ids) // 4)
+        while piece and len(piece[2]) >= 4 * self.capacity:
+            whole, piece = _cut(piece, self.capacity)
+            yield from self._placed(self._sequence(), 1, [whole])
+        if piece:
+            yield from self._place(piece)
+
+    def _place(self, piece: Piece | None) -> Iterator[tuple]:
+        if self.waiting:
+            sequence, k, pieces, room = self.waiting
+            part, piece = _cut(piece, room)
+            pieces.append(part)
+            room -= len(part[2]) // 4
+            self.waiting = (sequence, k, pieces, room) if room else None
+            if not room:
+                yield from self._placed(sequence, k, pieces)
+        if not piece:
+            return
+        k = self.capacity // (len(piece[2]) // 4)
+        pieces = self.open.setdefault(k, [])
         pieces.append(piece)
-        if len(pieces) * size == self.capacity:
-            yield from self._close(self.open.pop(size), size)
+        if len(pieces) == k:
+            sequence, room = self._sequence(), self.capacity - sum(len(x[2]) // 4 for x in self.open.pop(k))
+            if room:
+                self.waiting = (sequence, k, pieces, room)
+            else:
+                yield from self._placed(sequence, k, pieces)
 
     def finish(self) -> Iterator[tuple]:
-        for size, pieces in sorted(self.open.items()):
-            while pieces:
-                count = 1 << (len(pieces).bit_length() - 1)
-                yield from self._close(pieces[:count], size)
-                pieces = pieces[count:]
-        self.open = {}
+        """What is open, as full sequences and powers of two of class 0."""
+        left = [piece for _, pieces in sorted(self.open.items()) for piece in pieces]
+        if self.waiting:
+            left = [*self.waiting[2], *left]
+        self.open, self.waiting = {}, None
+        tokens = sum(len(piece[2]) // 4 for piece in left)
+        while tokens:
+            size = self.capacity if tokens >= self.capacity else 1 << (tokens.bit_length() - 1)
+            tokens -= size
+            pieces = []
+            while size:
+                part, rest = _cut(left[0], size)
+                left[:1] = [rest] if rest else []
+                pieces.append(part)
+                size -= len(part[2]) // 4
+            yield from self._placed(self._sequence(), 0, pieces)
 
 
 def pack(
@@ -165,7 +205,8 @@ def pack(
 
     ``start`` and ``length`` count ids of the document, whose ids are those of its text and ``end_id``. ``offset`` is the
     piece's place in its sequence of ``sequence_length`` ids, which is ``capacity`` or a smaller power of two. Every id
-    lies in one piece and pieces cover a sequence without gaps. ``with_ids`` adds the ids themselves. NULL texts are
+    lies in one piece and pieces cover a sequence without gaps. ``sequence_class`` is the class k of the sequence, whose
+    first k pieces are of that class and all others ``filler``; it is 0 for what a task had left. ``with_ids`` adds the ids themselves. NULL texts are
     empty and empty texts have one piece, the ``end_id``. Repeated rows are packed as often as they occur, so pieces of
     two rows with one id cannot be told apart. Other columns are ignored. The tokenizer file is read by every worker.
     """
@@ -175,6 +216,7 @@ def pack(
     schema = T.StructType([T.StructField(id_col, source.schema[0].dataType)])
     for name in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length"):
         schema.add(name, T.LongType())
+    schema.add("sequence_class", T.LongType()).add("filler", T.BooleanType())
     if with_ids:
         schema.add("ids", T.ArrayType(T.IntegerType()))
     end = _packed([end_id])
@@ -185,20 +227,15 @@ def pack(
                 part = batch.slice(at, 256)
                 texts = [text or "" for text in part.column(1).to_pylist()]
                 for doc, ids in zip(part.column(0).to_pylist(), tokenizer.encode(texts), strict=True):
-                    ids += end
-                    total, start = len(ids) // 4, 0
-                    for size in piece_lengths(total, capacity):
-                        piece = ids[4 * start : 4 * (start + size)]
-                        kept = (memoryview(piece).cast("I").tolist(),) if with_ids else ()
-                        yield from bins.add((doc, start, size, zlib.crc32(piece), total, kept), size)
-                        start += size
+                    yield from bins.add(doc, ids + end)
         yield from bins.finish()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = Bins(capacity, TaskContext.get().partitionId() * _PER_TASK)
         out: list[tuple] = []
-        for *piece, kept, sequence, offset, length in rows(bins, batches, _tokenizer(tokenizer_path)):
-            out.append((*piece, sequence, offset, length, *kept))
+        for (doc, start, ids, total), *place in rows(bins, batches, _tokenizer(tokenizer_path)):
+            kept = (memoryview(ids).cast("I").tolist(),) if with_ids else ()
+            out.append((doc, start, len(ids) // 4, zlib.crc32(ids), total, *place, *kept))
             if len(out) >= 4096:
                 yield _batch(out, arrow)
                 out = []

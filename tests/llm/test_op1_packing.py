@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from sluicebox.llm import queries
-from sluicebox.llm.packing import Bins, WordTokenizer, _packed, pack, piece_lengths
+from sluicebox.llm.packing import Bins, WordTokenizer, _packed, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF_DIR = "/root/testdata/sf0.01"
@@ -36,7 +36,13 @@ def check(pieces, docs):
             assert piece.offset == at
             at += piece.length
         assert at <= 2048 and at & (at - 1) == 0
-        assert len({piece.length for piece in some}) == 1 and {piece.sequence_length for piece in some} == {at}
+        assert {piece.sequence_length for piece in some} == {at}
+        (k,) = {piece.sequence_class for piece in some}
+        of_class = [piece for piece in sorted(some, key=lambda piece: piece.offset) if not piece.filler]
+        if k:
+            # As many as the class says, in its range of lengths, and then what fills up the sequence.
+            assert at == 2048 and len(of_class) == k and of_class[-1].offset + of_class[-1].length <= min([2048, *[x.offset for x in some if x.filler]])
+            assert all(2048 // (k + 1) < piece.length <= 2048 // k for piece in of_class)
     return sequences
 
 
@@ -44,23 +50,45 @@ def test_query_packs_every_document_whole(spark):
     docs = [(row.doc_id, row.text) for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     pieces = queries.op1_harmonic_packing(spark, SF_DIR).collect()
     sequences = check(pieces, docs)
-    # Two thirds and more are full even of a small table; the others have no padding either.
-    assert sum(some[0].sequence_length == 2048 for some in sequences.values()) > 0.66 * len(sequences)
+    # Most are full even of a small table; the others have no padding either.
+    full = [some for some in sequences.values() if some[0].sequence_length == 2048]
+    assert len(full) > 0.66 * len(sequences) and len({some[0].sequence_class for some in full}) > 10
+    assert len(pieces) < 3 * len(docs) + sum(piece.length == 2048 for piece in pieces)
 
 
-@pytest.mark.parametrize("tokens", [1, 2, 3, 2047, 2048, 2049, 5000])
-def test_piece_lengths(tokens):
-    lengths = list(piece_lengths(tokens, 2048))
-    assert sum(lengths) == tokens and lengths == sorted(lengths, reverse=True)
-    assert all(length & (length - 1) == 0 for length in lengths) and len(set(lengths[tokens // 2048 :])) == len(lengths[tokens // 2048 :])
+def ids_of(doc, tokens):
+    return np.arange(doc * 100, doc * 100 + tokens, dtype="<u4").tobytes()
 
 
-def test_open_sequences_end_as_powers_of_two():
-    bins = Bins(8, 100)
-    placed = [row for k in range(7) for row in bins.add((k,), 2)] + list(bins.finish())
-    assert [row[1:] for row in placed] == [
-        (100, 0, 8), (100, 2, 8), (100, 4, 8), (100, 6, 8), (101, 0, 4), (101, 2, 4), (102, 0, 2),
+def test_classes_fillers_and_what_is_left():
+    bins = Bins(16, 100)
+    placed = [row for doc, tokens in enumerate([20, 5, 7, 6, 5, 5, 3, 6, 9]) for row in bins.add(doc, ids_of(doc, tokens))]
+    lengths = [(piece[0], piece[1], len(piece[2]) // 4, *place) for piece, *place in placed]
+    assert lengths == [
+        (0, 0, 16, 100, 0, 16, 1, False),  # a whole sequence of a document of 20
+        (2, 0, 7, 101, 0, 16, 2, False), (3, 0, 6, 101, 7, 16, 2, False), (4, 0, 3, 101, 13, 16, 2, True),
     ]
+    left = [(piece[0], piece[1], len(piece[2]) // 4, *place) for piece, *place in bins.finish()]
+    assert sum(row[2] for row in [*lengths, *left]) == 66 and all(row[6:] == (0, False) for row in left)
+    assert [row[5] for row in left if row[4] == 0] == [16, 16, 2]  # of 34 ids
+    got = {}
+    for piece, *_ in sorted([*placed], key=lambda row: row[0][:2]):
+        got[piece[0]] = got.get(piece[0], b"") + piece[2]
+    assert got[3] == ids_of(3, 6) and got[2] == ids_of(2, 7)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_id_is_placed_once_whatever_the_lengths(seed):
+    draw = np.random.default_rng(seed)
+    bins, docs = Bins(64, 0), [ids_of(k, n) for k, n in enumerate(draw.integers(1, 200, 300).tolist() + [64, 1, 128])]
+    placed = [row for k, ids in enumerate(docs) for row in bins.add(k, ids)]
+    placed += list(bins.finish())
+    assert [row[1] for row in bins.finish()] == []
+    for k, ids in enumerate(docs):
+        assert b"".join(piece[2] for piece, *_ in sorted((row for row in placed if row[0][0] == k), key=lambda row: row[0][1])) == ids
+    sizes = {sequence: length for _, sequence, _, length, *_ in placed}
+    assert sum(sizes.values()) * 4 == sum(map(len, docs)) and all(n == 64 or n & (n - 1) == 0 for n in sizes.values())
+    assert sum(n < 64 for n in sizes.values()) <= 6
 
 
 def test_words_are_tokenised_as_the_whole_text():
