@@ -14,9 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Parts of named sources; all others, and rows without a source, share OTHER_PARTS.
+# Parts of named sources. All others have OTHER_PARTS together, each by its volume and at least one.
 WEIGHTS = {"src0": 20, "src1": 10, "src2": 10, "src3": 5, "src4": 5}
 OTHER_PARTS = 50
+# Sources that get parts of their own, those of the largest volume; smaller ones and rows without a source are one more.
+MOST_SOURCES = 64
 # Characters of a block, counting one for the end of each document. A document belongs to the block it starts in.
 BLOCK_CHARS = 16_384
 # First digits of the order key that make a cell. A source's running total is computed over at most 16 ** 3 cells, and
@@ -43,6 +45,28 @@ aggregate(
 """
 
 
+def target_weights(
+    docs: DataFrame, source_col: str = "source", text_col: str = "text", chars_col: str | None = None
+) -> tuple[dict[str, int], int]:
+    """Parts of each source of a table, and those that the rest shares.
+
+    Sources of WEIGHTS have the parts named there, also if the table has none of their rows. The others, rows without a
+    source among them, get OTHER_PARTS by the volume of their texts, rounded, and one part at least.
+    """
+    chars = F.col(f"`{chars_col}`") if chars_col else F.length(F.col(f"`{text_col}`").cast("string"))
+    source = F.col(f"`{source_col}`").cast("string")
+    volumes = docs.groupBy(source.alias("source")).agg(F.sum(F.coalesce(chars, F.lit(0)).cast("long") + 1).alias("chars"))
+    others = volumes.where(F.col("source").isNull() | ~F.col("source").isin(*WEIGHTS))
+    total = others.agg(F.sum("chars")).first()[0] or 1
+    own = others.where("source IS NOT NULL").orderBy(F.desc("chars"), "source").limit(MOST_SOURCES).collect()
+
+    def parts(volume: int) -> int:
+        return max(1, (2 * OTHER_PARTS * volume + total) // (2 * total))
+
+    rest = total - sum(row.chars for row in own)
+    return WEIGHTS | {row.source: parts(row.chars) for row in sorted(own)}, parts(rest)
+
+
 def _parts(weights: dict[str, int], other_parts: int) -> Column:
     return F.array(*[F.lit(parts).cast("long") for parts in [*weights.values(), other_parts]])
 
@@ -89,7 +113,8 @@ def _scheduled(
     rows = rows.withColumns(
         {
             "mix": _group(F.col(f"row.`{source_col}`").cast("string"), weights),
-            "key": F.coalesce(F.md5(row_id.cast("string")), F.lit("")),
+            # Rows without an id are dealt by what else they hold.
+            "key": F.md5(F.coalesce(row_id.cast("string"), F.xxhash64("row").cast("string"))),
             "chars": F.coalesce(chars, F.lit(0)).cast("long") + 1,
         }
     ).withColumn("cell", F.substring("key", 1, CELL_DIGITS))
@@ -118,10 +143,19 @@ def _scheduled(
     )
 
 
+def _chosen(
+    docs: DataFrame, weights: dict[str, int] | None, other_parts: int | None, source_col: str, text_col: str, chars_col: str | None
+) -> tuple[dict[str, int], int]:
+    if weights is None:
+        weights, rest = target_weights(docs, source_col, text_col, chars_col)
+        return weights, other_parts or rest
+    return weights, OTHER_PARTS if other_parts is None else other_parts
+
+
 def interleave(
     docs: DataFrame,
     weights: dict[str, int] | None = None,
-    other_parts: int = OTHER_PARTS,
+    other_parts: int | None = None,
     block_chars: int = BLOCK_CHARS,
     id_col: str = "doc_id",
     source_col: str = "source",
@@ -132,12 +166,14 @@ def interleave(
 
     ``mix_group`` is the source if it has a weight of its own and else NULL; rows without a source are among the latter.
     ``block`` counts the blocks of a group and ``start`` its characters before the document. NULL and empty texts have
-    only the one character that ends a document. Rows without an id come first in their group; of repeated rows each
-    has a place. Columns of the input with the name of a result column are replaced. An empty table gives no rows.
+    only the one character that ends a document. Rows without an id are ordered by a hash of all their columns; of
+    repeated rows each has a place. Without ``weights`` those of ``target_weights`` are taken; ``other_parts`` are the parts
+    of all sources that have none, OTHER_PARTS if only ``weights`` are given. Columns of the input with the name of a result column are replaced. An empty table gives no rows.
     ``chars_col`` names a column with the lengths of the texts, if the texts themselves are not to be moved.
     """
     chars = F.col(f"row.`{chars_col}`") if chars_col else F.length(F.col(f"row.`{text_col}`").cast("string"))
-    found = _scheduled(docs, WEIGHTS if weights is None else weights, other_parts, block_chars, id_col, source_col, chars)
+    weights, other_parts = _chosen(docs, weights, other_parts, source_col, text_col, chars_col)
+    found = _scheduled(docs, weights, other_parts, block_chars, id_col, source_col, chars)
     others = [F.col(f"row.`{name}`").alias(name) for name in docs.columns if name not in RESULT]
     return found.select(*others, *RESULT)
 
@@ -145,7 +181,7 @@ def interleave(
 def mixture(
     docs: DataFrame,
     weights: dict[str, int] | None = None,
-    other_parts: int = OTHER_PARTS,
+    other_parts: int | None = None,
     block_chars: int = BLOCK_CHARS,
     id_col: str = "doc_id",
     source_col: str = "source",
@@ -153,5 +189,6 @@ def mixture(
 ) -> DataFrame:
     """The rows of the input, with its columns, in the order of the mixture: its files, read by name, are in that order."""
     chars = F.length(F.col(f"row.`{text_col}`").cast("string"))
-    found = _scheduled(docs, WEIGHTS if weights is None else weights, other_parts, block_chars, id_col, source_col, chars)
+    weights, other_parts = _chosen(docs, weights, other_parts, source_col, text_col, None)
+    found = _scheduled(docs, weights, other_parts, block_chars, id_col, source_col, chars)
     return found.repartitionByRange("slot", "start").sortWithinPartitions("slot", "start").select("row.*")

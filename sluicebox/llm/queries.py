@@ -120,13 +120,23 @@ FROM reached r GROUP BY r.a
 # The weights of llm.mixing, its frames and turns, one slot after another.
 OP7_SQL = """
 WITH RECURSIVE
+named AS (SELECT unnest([0, 1, 2, 3, 4]) AS mix, unnest(['src0', 'src1', 'src2', 'src3', 'src4']) AS mix_group, unnest([20, 10, 10, 5, 5]) AS parts),
+volumes AS (
+    SELECT source, CAST(SUM(COALESCE(length(text), 0) + 1) AS BIGINT) AS chars FROM documents
+    WHERE source IS NULL OR source NOT IN (SELECT mix_group FROM named) GROUP BY source
+),
+total AS (SELECT CAST(COALESCE(SUM(chars), 1) AS BIGINT) AS total FROM volumes),
 weights AS (
-    SELECT unnest([0, 1, 2, 3, 4, 5]) AS mix, unnest(['src0', 'src1', 'src2', 'src3', 'src4', NULL]) AS mix_group,
-           unnest([20, 10, 10, 5, 5, 50]) AS parts
+    SELECT mix, mix_group, parts FROM named
+    UNION ALL
+    SELECT 4 + row_number() OVER (ORDER BY source), source, GREATEST(1, (100 * chars + total) // (2 * total)) FROM volumes, total WHERE source IS NOT NULL
+    UNION ALL
+    SELECT 5 + (SELECT COUNT(source) FROM volumes), NULL,
+           GREATEST(1, (100 * COALESCE((SELECT chars FROM volumes WHERE source IS NULL), 0) + total) // (2 * total)) FROM total
 ),
 docs AS (
     SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS key, COALESCE(length(text), 0) + 1 AS chars,
-           COALESCE((SELECT w.mix FROM weights w WHERE w.mix_group = d.source), 5) AS mix
+           COALESCE((SELECT w.mix FROM weights w WHERE w.mix_group = d.source), (SELECT MAX(mix) FROM weights)) AS mix
     FROM documents d
 ),
 placed AS (

@@ -3,6 +3,7 @@ import math
 
 import pytest
 
+from compare import connect, differences
 from sluicebox.llm import mixing, queries
 from sluicebox.llm.mixing import interleave, mixture
 
@@ -54,11 +55,24 @@ def test_each_source_stays_within_a_block_of_its_share(counts):
 
 def test_query_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id", "source", "length(text) AS n").collect()
-    expected = brute_force([tuple(row) for row in docs], mixing.WEIGHTS, mixing.OTHER_PARTS, mixing.BLOCK_CHARS)
+    volumes = {}
+    for row in docs:
+        if row.source not in mixing.WEIGHTS:
+            volumes[row.source] = volumes.get(row.source, 0) + row.n + 1
+    total = sum(volumes.values())
+    parts = {source: max(1, math.floor(50 * n / total + 0.5)) for source, n in volumes.items() if source is not None}
+    rest = max(1, math.floor(50 * volumes.get(None, 0) / total + 0.5))
+    weights = mixing.WEIGHTS | dict(sorted(parts.items()))
+    assert len(weights) == 20 and mixing.target_weights(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")) == (weights, rest)
+    expected = brute_force([tuple(row) for row in docs], weights, rest, mixing.BLOCK_CHARS)
     found = {row.doc_id: (row.mix_group, row.block, row.slot) for row in queries.op7_pfair_mixing(spark, "/root/testdata/sf0.01").collect()}
     assert found == expected
 
 
+def test_query_equals_sql(spark):
+    assert differences(spark, connect("/root/testdata/sf0.01"), "/root/testdata/sf0.01", "op7_pfair_mixing") == []
+
+
 def test_small_blocks_and_sources_that_end_early(spark):
     rows = [(i, f"s{i % 3 if i < 60 else 1}", "x" * (i * 37 % 90)) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
@@ -85,3 +99,28 @@ def test_no_python_and_no_text_in_the_shuffles(spark):
     found = queries.op7_pfair_mixing(spark, "/root/testdata/sf0.001")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_source_of_the_query_stays_within_a_block_of_its_weight(spark):
+    """In all frames that hold the blocks of every source."""
+    path = "/root/testdata/sf0.1"
+    weights, _ = mixing.target_weights(spark.read.parquet(f"{path}/documents.parquet"))
+    rows = queries.op7_pfair_mixing(spark, path).select("mix_group", "block", "slot").distinct().collect()
+    blocks = {}
+    for row in rows:
+        blocks[row.mix_group] = max(blocks.get(row.mix_group, 0), row.block + 1)
+    assert blocks.keys() == weights.keys() and len(blocks) == 20
+    total, frames = sum(weights.values()), min(n // weights[name] for name, n in blocks.items())
+    full = [row for row in rows if row.slot < frames * total]
+    assert frames >= 1 and len(full) > 50
+    for name, block, slot in full:
+        assert abs(block - weights[name] * slot / total) < 1 and abs(block + 1 - weights[name] * (slot + 1) / total) < 1
+
+
+def test_sources_beyond_the_bound_share_one_weight(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
+    rows = [(i, f"t{i % 4}" if i % 9 else None, "x" * (20 * (i % 4))) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    weights, rest = mixing.target_weights(df)
+    assert set(weights) == {*mixing.WEIGHTS, "t2", "t3"} and rest >= 1 and weights["t3"] > weights["t2"]
+    assert interleave(df).count() == 100
