@@ -31,12 +31,14 @@ CHUNK_BYTES = 4_096
 LEAST_REVISIT_BYTES = 0
 # Records of an archive file, which bounds what a reader holds.
 FILE_RECORDS = 20_000
+# Equal rows that one task writes the records of.
+REPEATS = 1_000
 DATE = "2024-01-01T00:00:00Z"
 
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 _CHUNKED = re.compile(rb"^transfer-encoding:\s*chunked\s*$", re.IGNORECASE | re.MULTILINE)
-_RECORD_ID = re.compile(r"<urn:page:(-?\d+|none):[0-9a-f]+>")
+_RECORD_ID = re.compile(r"<urn:page:(-?\d+|none):[0-9a-f]+(?::[0-9a-f]+-\d+)?>")
 
 # A part of a record as parsed. Records in one piece come decoded, without a block.
 _PARTS = """key string, segment long, total long, type string, refers_to string, digest string, block binary,
@@ -81,11 +83,17 @@ def _record(block: bytes, **headers: str | int | None) -> bytes:
     return VERSION + b"\r\n" + head + b"\r\n\r\n" + block + b"\r\n"
 
 
-def _records_of(page: int | None, url: str | None, payload: bytes, origin: int | None, segment_bytes: int, chunk_bytes: int) -> Iterator[bytes]:
-    """The records of a page. ``origin`` is the page whose payload a revisit refers to."""
+def _records_of(
+    page: int | None, url: str | None, payload: bytes, origin: int | None, segment_bytes: int, chunk_bytes: int, own: str = ""
+) -> Iterator[bytes]:
+    """The records of a page. ``origin`` is the page whose payload a revisit refers to.
+
+    ``own`` tells the record from others of the same page and payload; the one that others refer to has none.
+    """
     hexed = hashlib.sha1(payload).hexdigest()
+    name = f"{'none' if page is None else page}:{hexed}{own}"
     common = {
-        "WARC_Record_ID": f"<urn:page:{'none' if page is None else page}:{hexed}>",
+        "WARC_Record_ID": f"<urn:page:{name}>",
         "WARC_Date": DATE,
         "WARC_Target_URI": None if url is None else quote(url, safe="!#$%&'()*+,/:;=?@[]~"),
         "WARC_Payload_Digest": f"sha1:{digest(payload)}",
@@ -105,7 +113,7 @@ def _records_of(page: int | None, url: str | None, payload: bytes, origin: int |
         yield _record(
             piece,
             WARC_Type="continuation",
-            WARC_Record_ID=f"<urn:page-segment:{'none' if page is None else page}:{hexed}:{number}>",
+            WARC_Record_ID=f"<urn:page-segment:{name}:{number}>",
             WARC_Date=DATE,
             WARC_Segment_Origin_ID=common["WARC_Record_ID"],
             WARC_Segment_Number=number,
@@ -146,25 +154,44 @@ def write_archives(
     """Write a record per row into gzipped archive files below ``path``.
 
     The payload is the text in UTF-8, NULL being empty. Of rows with equal payloads of ``least_revisit_bytes`` or more,
-    the one with the largest id is a response and the others are revisits of it; a row without an id is a response.
-    Rows that repeat both id and payload are the same record, written more than once. Other columns are ignored.
+    the one with the largest id is a response and the others are revisits of it; a row without an id is a response. Of
+    rows that repeat both id and payload one is the response, that of the last url, and the others are revisits too: a
+    record for each row. Other columns are ignored.
+
+    Rows that are equal altogether travel as one with their number, and are dealt out again REPEATS at a time.
     """
     rows = pages.select(
         F.col(f"`{id_col}`").cast("long").alias("page"),
         F.col(f"`{url_col}`").cast("string").alias("url"),
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("sha", F.sha1("payload"))
+    rows = rows.withColumn("same", F.md5(F.to_json(F.struct("page", "url", "sha"))))
+    repeated = unique_side(rows, "same", F.count("*").alias("times")).where("times > 1")
+    once = rows.join(repeated, "same", "left_anti").withColumns({"first": F.lit(0).cast("long"), "times": F.lit(1).cast("long")})
+    some = rows.join(repeated, "same", "left_semi").groupBy("same", "page", "url", "sha").agg(F.first("payload").alias("payload"), F.count("*").alias("total"))
+    some = some.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(REPEATS).cast("long"))))
+    some = some.withColumn("times", F.least(F.lit(REPEATS), F.col("total") - F.col("first"))).repartition("same", "first")
+    rows = once.unionByName(some.drop("total"))
+
+    # Of each payload that several rows have: the largest page, and of its urls the last.
+    last = F.max(F.struct("page", F.col("url").isNotNull().alias("named"), F.coalesce("url", F.lit("")).alias("url"))).alias("last")
     large = rows.where((F.octet_length("payload") >= least_revisit_bytes) & F.col("page").isNotNull())
-    copied = unique_side(large, "sha", F.max("page").alias("origin"), F.min("page").alias("least")).where("least < origin")
-    rows = rows.join(copied.select("sha", "origin"), "sha", "left").select("page", "url", "payload", "origin")
+    copied = unique_side(large, "sha", last, F.sum("times").alias("n")).where("n > 1")
+    rows = rows.join(copied.select("sha", "last"), "sha", "left")
+    is_last = (F.col("page") == F.col("last.page")) & (F.col("url").isNotNull() == F.col("last.named")) & (F.coalesce("url", F.lit("")) == F.col("last.url"))
+    rows = rows.select("page", "url", "payload", F.col("last.page").alias("origin"), F.coalesce(is_last, F.lit(False)).alias("is_last"), "first", "times")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                for page, url, payload, origin in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns], strict=True):
-                    origin = None if page is None or page == origin else origin
-                    for record in _records_of(page, url, payload, origin, segment_bytes, chunk_bytes):
-                        yield (record,)
+                for page, url, payload, origin, is_last, first, times in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns], strict=True):
+                    origin = None if page is None else origin
+                    of_url = hashlib.md5(repr(url).encode("utf-8", "surrogatepass")).hexdigest()[:16]
+                    for nth in range(first, first + times):
+                        is_origin = is_last and nth == 0
+                        own = "" if is_origin else f":{of_url}-{nth}"
+                        for record in _records_of(page, url, payload, None if is_origin else origin, segment_bytes, chunk_bytes, own):
+                            yield (record,)
 
     lines = _arrow_map(rows, records, "record binary", 512).select(F.col("record").cast("string"))
     lines.write.options(lineSep="\r\n", compression="gzip", maxRecordsPerFile=FILE_RECORDS).text(path)

@@ -50,13 +50,35 @@ def test_round_trip(spark, segment, chunk, least):
     assert read and all(bytes(payload).decode() == (dict(pages)[int(page)] or "") for page, payload in read.items())
 
 
+def what(spark, path):
+    rows = warc.page_records(spark, path).collect()
+    assert all(row.error is None for row in rows)
+    return sorted(((row.page_id, row.record_type, row.refers_to, row.payload_bytes) for row in rows), key=str)
+
+
+@pytest.mark.parametrize("least", [0, 5])
+def test_a_record_for_every_row(spark, monkeypatch, least):
+    """Rows repeated whole, with another url, without an id, and long ones in segments."""
+    monkeypatch.setattr(warc, "REPEATS", 3)
+    long = "long " * 50
+    rows = [(5, "u", long)] * 8 + [(5, "v", long), (5, None, long), (5, "", long), (4, "u", long)] + [(None, "a", long), (None, "b", long), (None, "b", long)]
+    rows += [(1, "u", "x"), (1, "u", "x"), (2, "u", "x"), (3, "w", "other")] + [(None, None, None)] * 4
+    path = new_folder(spark, "archives")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), path, least, 100, 30)
+    small = [(2, "response", None, 1), (1, "revisit", 2, 1), (1, "revisit", 2, 1)] if least == 0 else [(2, "response", None, 1)] + [(1, "response", None, 1)] * 2
+    expected = [(5, "response", None, 250)] + [(5, "revisit", 5, 250)] * 10 + [(4, "revisit", 5, 250)] + [(None, "response", None, 250)] * 3
+    expected += [*small, (3, "response", None, 5)] + [(None, "response", None, 0)] * 4
+    assert what(spark, path) == sorted(expected, key=str)
+    ids = [row.record_id for row in warc.read_archives(spark, path).collect()]
+    assert len(ids) == len(set(ids)) == len(rows)
+
+
 def test_edges(spark):
     rows = [(None, None, "x"), (1, "u", "x"), (2, "u", "x"), (2, "u", "x"), (7, None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     path = new_folder(spark, "archives")
     warc.write_archives(df, path)
-    found = {row.page_id: (row.record_type, row.refers_to, row.payload_bytes) for row in warc.page_records(spark, path).collect()}
-    assert found == {None: ("response", None, 1), 1: ("revisit", 2, 1), 2: ("response", None, 1), 7: ("response", None, 0)}
+    assert what(spark, path) == [(1, "revisit", 2, 1), (2, "response", None, 1), (2, "revisit", 2, 1), (7, "response", None, 0), (None, "response", None, 1)]
     path = new_folder(spark, "archives")
     warc.write_archives(df.limit(0), path)
     assert warc.page_records(spark, path).collect() == []
