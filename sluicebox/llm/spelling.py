@@ -3,9 +3,9 @@
 If two words are one error apart, the error lies in one half of the first, so the other half occurs in both, at the same
 end. A search matches either half and the end of the word exactly and goes on across the other half with one error.
 
-Words with a half in common have END letters in common at that end, so the vocabulary is dealt out by the first and by the
-last END letters. A task indexes some of these groups at a time, at most CHARS letters; a larger group is cut into several
-indexes and each of its words is searched in all of them.
+The vocabulary is dealt out by these halves: a word is indexed with every half that a word of its length, or of one letter
+more or less, may ask for, and asks with its own two. A task indexes some of these groups at a time, at most CHARS
+letters; a larger group is cut into several indexes and each of its words is searched in all of them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicebox.llm.fm_index import LEFT, RIGHT, BidirectionalIndex, numbers
@@ -28,7 +28,6 @@ LEAST_COUNT = 2
 RATIO = 10
 # A run whose CRC-32 this divides loses a letter.
 DAMAGED = 31
-END = 3
 # Letters of an index, words of a group in one index, and words of a task.
 CHARS = 1 << 16
 GROUP_WORDS = 4_000
@@ -56,16 +55,31 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return counted.where(F.col("n") >= LEAST_COUNT)
 
 
+def _half(size: Column, side: int) -> Column:
+    """Letters of a word of this size that match exactly when the search goes to a side."""
+    first = F.floor(size / 2).cast("int")
+    return first if side == RIGHT else size - first
+
+
+def _halves(side: int) -> Column:
+    """Halves of ``word`` that words of about its length ask for on a side; its own is one of them, and it asks for that."""
+    length = F.length("word")
+    parts = F.array_distinct(F.transform(F.sequence(length - 1, length + 1), lambda size: _half(size, side)))
+    return F.transform(parts, lambda part: F.struct(F.lit(side).alias("side"), part.alias("part"), (part == _half(length, side)).alias("asks")))
+
+
 def _near_in_index(words: DataFrame, tasks: int) -> DataFrame:
     """Pairs ``word``, ``near`` with the ``near_n`` of the second, of words of at most LONG letters."""
-    both = F.array(F.struct(F.lit(RIGHT).alias("side"), F.left("word", F.lit(END)).alias("key")), F.struct(F.lit(LEFT).alias("side"), F.right("word", F.lit(END)).alias("key")))
-    dealt = words.select(F.explode(both).alias("group"), "word", "n").select(F.col("group.side").alias("side"), F.col("group.key").alias("key"), "word", "n")
-    dealt = dealt.withColumn("group", F.concat_ws(":", "side", "key"))
+    dealt = words.select(F.explode(F.concat(_halves(RIGHT), _halves(LEFT))).alias("group"), "word", "n").select("group.*", "word", "n")
+    key = F.when(F.col("side") == RIGHT, F.expr("left(word, part)")).otherwise(F.expr("right(word, part)"))
+    dealt = dealt.select("side", key.alias("key"), "asks", "word", "n").withColumn("group", F.concat_ws(":", "side", "key"))
     large = unique_side(dealt, "group", F.ceil(F.count("*") / GROUP_WORDS).cast("int").alias("blocks")).where("blocks > 1")
     dealt = dealt.join(large, "group", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int")
-    indexed = dealt.select("side", "key", own.alias("block"), F.lit(0).alias("turn"), "word", "n")
-    asked = dealt.where("blocks > 1").select("side", "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("turn"), "word", "n")
+    indexed = dealt.select("side", "key", own.alias("block"), F.lit(0).alias("turn"), "word", "n", (F.col("asks") & (F.col("blocks") == 1)).alias("asks"))
+    asked = dealt.where("blocks > 1 AND asks").select(
+        "side", "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("turn"), "word", "n", "asks"
+    )
     group = ["side", "key", "block"]
     placed = indexed.union(asked).repartition(tasks, *group).sortWithinPartitions(*group, "turn", "word")
     schema = pa.schema([("word", pa.string()), ("near", pa.string()), ("near_n", pa.int64())])
@@ -85,34 +99,38 @@ def _near_in_index(words: DataFrame, tasks: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns], strict=True))
-        held: list[tuple[str, int]] = []
-        chars = 0
-        held_side = RIGHT
+        held: dict[str, int] = {}
+        asking: list[str] = []
+        chars, held_side = 0, RIGHT
 
         def of_held() -> Iterator[pa.RecordBatch]:
-            if held:
-                words = [word for word, _ in held]
-                yield pairs(BidirectionalIndex(words), held_side, held, words)
+            if asking:
+                yield pairs(BidirectionalIndex(list(held)), held_side, list(held.items()), asking)
 
         for (side, _, _), some in groupby(rows, key=lambda row: row[:3]):
-            index, own, queries = None, [], []
-            for _, _, _, turn, word, n in some:
+            index, own, queries = None, {}, []
+            for _, _, _, turn, word, n, asks in some:
                 if turn == 0:
-                    own.append((word, n))
-                    continue
-                index = index or BidirectionalIndex([x for x, _ in own])
-                queries.append(word)
-                if len(queries) == GROUP_WORDS:
-                    yield pairs(index, side, own, queries)
+                    own[word] = n
+                elif index is None:
+                    index = BidirectionalIndex(list(own))
+                if asks:
+                    queries.append(word)
+                if index and len(queries) == GROUP_WORDS:
+                    yield pairs(index, side, list(own.items()), queries)
                     queries = []
             if index:
-                yield pairs(index, side, own, queries)
+                yield pairs(index, side, list(own.items()), queries)
+                continue
+            # A word alone has none near it here, and one that nobody asks about neither.
+            if len(own) == 1 or not queries:
                 continue
             if side != held_side or chars > CHARS:
                 yield from of_held()
-                held, chars, held_side = [], 0, side
-            held += own
-            chars += sum(len(word) + 1 for word, _ in own)
+                held, asking, chars, held_side = {}, [], 0, side
+            held |= own
+            asking += queries
+            chars += sum(len(word) + 1 for word in own)
         yield from of_held()
 
     return placed.mapInArrow(run, "word string, near string, near_n long")
