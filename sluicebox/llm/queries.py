@@ -18,10 +18,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as pieces of token sequences."""
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op2_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the toxicity of its whole text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     scored = toxicity.score(docs, toxicity.fit_on(docs, _table(spark, sf_dir, "labels")))
     return scored.select(
@@ -34,12 +36,14 @@ def op2_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record says that was written to archives and read back."""
     path = new_folder(spark, "archives")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
     return warc.page_records(spark, path)
 
 
 def op4_quality_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the quality of its whole text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score(docs, quality.fit_on(docs, _table(spark, sf_dir, "labels")))
     predicted = (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
@@ -47,25 +51,30 @@ def op4_quality_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its language; those learned have a centroid, others have the nearest."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     found = language.identify(docs, language.fit_on(docs))
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op6_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its component and the number of its links."""
     return vector_dedup.mark_near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
 def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its block and slot in the mixture of sources."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("chars"))
     return mixing.interleave(docs, chars_col="chars").drop("chars")
 
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every call derived from the conversations, with its result and order."""
     return chat.link_tool_calls(*chat.calls_of(_table(spark, sf_dir, "conversations")))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the copy of its text that stays."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.mark_copies(docs).drop("text")
 
@@ -82,7 +91,9 @@ SELECT doc_id,
 FROM normal
 """
 
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near copies."""
     return near_dedup.mark_near_copies(_table(spark, sf_dir, "documents"), words=4)
 
 

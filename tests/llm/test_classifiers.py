@@ -193,3 +193,56 @@ def test_nearest_centroid_equals_a_plain_loop(spark):
         best = int(np.argmax(cosines))
         if row.lang_pred != "und":
             assert row.lang_pred == model.languages[model.owners[best]] and row.score == pytest.approx(cosines[best], abs=1e-5)
+
+
+TEXTS = ["all good here", "", None, "this is a vile, vile thing to say", "ab", "Good good good Bad " * 9]
+
+
+def test_toxicity_equals_a_plain_loop():
+    model = toxicity.fit(["all good here and there"] * 60 + ["this is vile", "vile thing"] * 30, [0] * 60 + [1] * 60, ["en"] * 120)
+    net = model.network
+    for text, score in zip(TEXTS, model.scores(TEXTS), strict=True):
+        words = Words([(text or "").encode()])
+        vectors = [sum(net.table[k].astype(float) for k in row) for row in toxicity.word_features(words)]
+        pooled = []
+        for weights, bias in zip(net.filters, net.biases, strict=True):
+            for f in range(toxicity.FILTERS):
+                # From the first word to the first place behind the last one, where there is nothing.
+                responses = [
+                    sum(float(vectors[at + k] @ weights[k, :, f]) for k in range(len(weights)) if at + k < len(vectors)) + bias[f]
+                    for at in range(len(vectors) + 1)
+                ]
+                pooled.append(max(responses))
+        logit = sum(a * b for a, b in zip(pooled, net.out.tolist(), strict=True)) + net.out_bias + model.shift
+        assert score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-5)
+
+
+def test_quality_equals_a_plain_loop():
+    model = quality.fit(["all good here and there"] * 60 + ["###!!! ###", "!! good"] * 30, [1] * 60 + [0] * 60)
+    net = model.network
+    for text, score in zip(TEXTS, model.scores(TEXTS), strict=True):
+        found, _ = quality.symbols([(text or "").encode()])
+        steps = [np.concatenate([net.table[x] for x in found[at : at + quality.STEP]]).astype(float) for at in range(0, len(found), quality.STEP)]
+        per_block = quality.BLOCK // quality.STEP
+        largest, mean = [], []
+        for f in range(quality.FILTERS):
+            responses = [
+                float(steps[i] @ net.near[:, f]) + float(net.bias[f]) + (float(steps[i + 1] @ net.far[:, f]) if i + 1 < len(steps) else 0.0)
+                for i in range(len(steps))
+            ]
+            tops = [max(0.0, *responses[at : at + per_block]) for at in range(0, len(responses), per_block)]
+            chunks = [max(tops[i : i + 2]) for i in range(len(tops))]
+            largest.append(max(tops))
+            mean.append(sum(chunks) / len(chunks))
+        logit = sum(a * b for a, b in zip([*largest, *mean], net.out.tolist(), strict=True)) + net.out_bias + model.shift
+        assert score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-5)
+
+
+def test_quality_edges(spark):
+    df = spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "x" * 300_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (None, 1), (9, 5)], "doc_id long, quality int")
+    model = quality.fit_on(df, labels)
+    rows = quality.score(df, model).collect()
+    assert len(rows) == 4 and all(0 <= row.score <= 1 for row in rows) and len({row.score for row in rows if not row.text}) == 1
+    assert quality.score(df.limit(0), model).collect() == []
+    assert len({row.score for row in quality.score(df, quality.fit_on(df.limit(0), labels.limit(0))).collect()}) == 1
