@@ -145,12 +145,12 @@ class Bins:
 
     def add(self, doc: object, ids: bytes) -> Iterator[tuple]:
         """Pieces with sequence, offset, the sequence's length and class, and whether the piece fills up a closed one."""
-        piece: Piece | None = (doc, 0, ids, len(ids) // 4)
-        while piece and len(piece[2]) >= 4 * self.capacity:
-            whole, piece = _cut(piece, self.capacity)
-            yield from self._placed(self._sequence(), 1, [whole])
-        if piece:
-            yield from self._place(piece)
+        total = len(ids) // 4
+        rest = total - total % self.capacity
+        for start in range(0, rest, self.capacity):
+            yield from self._placed(self._sequence(), 1, [(doc, start, ids[4 * start : 4 * (start + self.capacity)], total)])
+        if rest < total:
+            yield from self._place((doc, rest, ids[4 * rest :], total))
 
     def _place(self, piece: Piece | None) -> Iterator[tuple]:
         if self.waiting:
