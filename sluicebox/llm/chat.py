@@ -181,8 +181,9 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Tool calls and results derived from plain conversations, which have none.
 
     A user's message is a call and the assistant's message in the next turn its result. A call depends on the user's
-    call two turns earlier. Remainders of lengths and ids choose the tool and give some calls the defects that
-    validation looks for.
+    call two turns earlier; in some conversations on the one four turns earlier too, and in some the first call depends on
+    the third, which makes a cycle where there is one. Remainders of lengths and ids choose the tool and give some calls
+    the defects that validation looks for. Messages of all other roles are results that no call asked for, one each.
     """
     turn = F.col("turn")
     length = F.coalesce(F.length("text"), F.lit(0))
@@ -198,6 +199,10 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(name == "translate", F.lit('"target": "en"')).otherwise(F.concat(F.lit('"limit": '), limit)),
     )
     whole = F.concat(F.lit("{"), pairs, F.when(F.col("conv_id") % 13 == 5, "").otherwise("}"))
+
+    def call_at(distance: int) -> Column:
+        return F.concat_ws("_", F.lit("call"), "conv_id", turn + distance)
+
     users = conversations.where("role = 'user'")
     calls = users.select(
         "conv_id",
@@ -205,10 +210,18 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         "turn",
         name.alias("name"),
         whole.alias("arguments"),
-        F.array(F.concat_ws("_", F.lit("call"), "conv_id", turn - 2)).alias("depends_on"),
+        F.array_compact(
+            F.array(
+                call_at(-2),
+                F.when(F.col("conv_id") % 7 == 2, call_at(-4)),
+                F.when((F.col("conv_id") % 17 == 4) & (turn < 2), call_at(4)),
+            )
+        ).alias("depends_on"),
     )
     answers = conversations.where("role = 'assistant'")
     results = answers.select(
         "conv_id", F.concat_ws("_", F.lit("call"), "conv_id", turn - 1).alias("call_id"), "turn", F.col("text").alias("content")
     )
-    return calls, results
+    other = conversations.where(~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False)))
+    notes = other.select("conv_id", F.concat_ws("_", F.lit("note"), "conv_id", "turn").alias("call_id"), "turn", F.col("text").alias("content"))
+    return calls, results.union(notes)

@@ -74,8 +74,13 @@ def test_query_equals_brute_force(spark):
     found = queries.op8_tool_calls(spark, "/root/testdata/sf0.01").collect()
     calls, results = chat.calls_of(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"))
     check([tuple(row) for row in calls.collect()], [tuple(row) for row in results.collect()], found)
-    assert {row.level for row in found} == {0, 1, 2, 3}
-    wrong = {error for row in found for error in row.errors}
+    assert {row.level for row in found} == {None, 0, 1, 2, 3} and {"cycle", "orphan", "answered"} <= {row.status for row in found}
+    assert {len(row.depends_on) for row in calls.collect()} == {1, 2, 3}
+    messages = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").groupBy("role").count().collect()
+    # Every message is in a record: calls, their results, and those of other roles on their own.
+    kept = {row.role: row["count"] for row in messages}
+    assert sum(row.n_calls for row in found) == kept["user"] and sum(row.n_results for row in found) == sum(kept.values()) - kept["user"]
+    wrong = {error for row in found for error in row.errors or ()}
     assert wrong == {"not JSON", "query: missing", "limit: not of kind integer"}
 
 
@@ -111,7 +116,7 @@ def test_edges(spark):
     assert link_tool_calls(calls.limit(0), results.limit(0)).collect() == []
     assert [row.status for row in link_tool_calls(calls.limit(0), results.limit(1)).collect()] == ["orphan"]
     odd = spark.createDataFrame([(1, 0, None, None), (1, 1, "user", None), (1, 1, "user", None), (None, 3, "assistant", "x")], "conv_id long, turn long, role string, text string")
-    assert link_tool_calls(*chat.calls_of(odd)).count() == 2
+    assert link_tool_calls(*chat.calls_of(odd)).count() == 3
 
 
 def test_no_python(spark):
