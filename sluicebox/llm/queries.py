@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.llm import chat, classify, conversation_trie, decontamination, exact_dedup, language, mixing, near_dedup, packing, quality, spelling, toxicity, vector_dedup, warc
+from sluicebox.llm import (
+    chat,
+    classify,
+    conversation_trie,
+    decontamination,
+    exact_dedup,
+    language,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    spelling,
+    toxicity,
+    vector_dedup,
+    warc,
+)
 from sluicebox.llm.text_sql import OP11_SQL, OP12_SQL, OP13_SQL
 from sluicebox.llm.work import new_folder
 

@@ -140,7 +140,10 @@ def _near_long(words: DataFrame) -> DataFrame:
     """The same pairs of words of at least LONG letters."""
     size = F.length("word")
     long = words.where(size >= LONG).withColumn("size", size)
-    halves = F.array(F.struct(F.lit(RIGHT).alias("side"), F.expr("left(word, size DIV 2)").alias("half")), F.struct(F.lit(LEFT).alias("side"), F.expr("right(word, size - size DIV 2)").alias("half")))
+    halves = F.array(
+        F.struct(F.lit(RIGHT).alias("side"), F.expr("left(word, size DIV 2)").alias("half")),
+        F.struct(F.lit(LEFT).alias("side"), F.expr("right(word, size - size DIV 2)").alias("half")),
+    )
     asked = long.select("word", "size", F.explode(halves).alias("h")).select("word", "h.side", F.length("h.half").alias("part"), F.sha2("h.half", 256).alias("half"))
     parts = F.array_distinct(F.expr("transform(array(size - 1, size, size + 1), x -> x DIV 2)"))
     others = F.array_distinct(F.expr("transform(array(size - 1, size, size + 1), x -> x - x DIV 2)"))

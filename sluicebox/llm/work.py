@@ -2,34 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The temporary folders of local sessions, by application.
-_local: dict[str, str] = {}
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below ``spark.checkpoint.dir`` that nothing uses yet.
-
-    Where the setting is missing, a local master gets a temporary folder, one for the application. A cluster gets an error, as its executors
-    could not see one another's files.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        context = spark.sparkContext
-        if not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if context.applicationId not in _local:
-            _local[context.applicationId] = tempfile.mkdtemp(prefix="sluicebox-")
-        base = _local[context.applicationId]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from sluicebox.sources.scratch import new_folder
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -45,8 +24,13 @@ def in_file_order(df: DataFrame) -> DataFrame:
 
     A scan alone reads the largest splits first and puts those of several files into one partition.
     """
-    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("long")  # as names, 100000 is before 99999
-    place = {"__part": part, "__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
+    file = df.metadataColumn("_metadata")  # also where the table has a column of that name
+    part = F.regexp_extract(file["file_name"], r"^part-(\d+)", 1).try_cast("long")  # as names, 100000 is before 99999
+    place, taken = {}, {name.lower() for name in df.columns}
+    for name, column in (("part", part), ("file", file["file_path"]), ("row", file["row_index"])):
+        while name in taken:
+            name += "_"
+        place[name] = column
     placed = df.select("*", *[column.alias(name) for name, column in place.items()])
     return placed.repartitionByRange(*place).sortWithinPartitions(*place).drop(*place)
 

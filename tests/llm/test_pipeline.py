@@ -2,11 +2,12 @@ import re
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sluicebox.llm import mixing
-from sluicebox.llm.work import stored
+from sluicebox.llm.work import in_file_order, new_folder, stored
 from test_op10_near_dedup import brute_force
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -46,6 +47,17 @@ def test_stages_keep_what_their_predecessors_kept(spark):
     assert ids == {doc: tokenizer.encode(row["text"], add_special_tokens=False).ids + [1] for doc, row in before.items()}
 
 
+def test_file_order_with_columns_of_clashing_names(spark):
+    names = ["_metadata", "part", "file", "row", "row_", "id"]
+    df = spark.range(60).select(*[F.lit(i).alias(name) for i, name in enumerate(names[:-1])], "id")
+    path = new_folder(spark, "clash")
+    df.repartition(4).sortWithinPartitions("id").write.parquet(path)
+    ordered = in_file_order(spark.read.parquet(path))
+    assert ordered.columns == names
+    by_file = [row.id for file in sorted(spark.read.parquet(path).inputFiles()) for row in spark.read.parquet(file).collect()]
+    assert [row.id for row in ordered.collect()] == by_file
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
