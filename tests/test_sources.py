@@ -1,6 +1,7 @@
 import csv
 from datetime import datetime, timedelta
 from pathlib import Path
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
@@ -18,6 +19,7 @@ from sluicebox.session import partitions_for, size_shuffles, unsized_shuffles
 from sluicebox.sources.event_log import EVENTS_SCHEMA, load_event_log, shop_tables, stage_event_log, tagged_events
 from sluicebox.sources.raw import SCHEMAS, load_raw, read_parquet
 from sluicebox.sources.models import register_sql_models
+from sluicebox.sources.scratch import new_folder
 from sluicebox.sources.sinks import (
     read_mart,
     read_published,
@@ -316,3 +318,17 @@ def test_staged_event_log_is_the_event_log_from_one_pass(spark, tmp_path):
         assert table.schema.simpleString() == expected.select(*table.columns).schema.simpleString(), name
         assert sorted(table.collect(), key=str) == sorted(expected.select(*table.columns).collect(), key=str), name
     assert "PartitionFilters: [isnotnull(raw_table" in staged.orders._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("master", ["local", "local[2]", "local[*]"])
+def test_scratch_folders_without_a_setting(master):
+    def session(name, setting=None):
+        conf = SimpleNamespace(get=lambda key, default: setting or default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=name, applicationId=f"app-{name}"))
+
+    one, other = new_folder(session(master), "a"), new_folder(session(master), "a")
+    assert one != other and Path(one).parent == Path(other).parent and Path(one).parent.is_dir()
+    assert new_folder(session("spark://x", "hdfs://shared/"), "a").startswith("hdfs://shared/a-")
+    for cluster in ("spark://x", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            new_folder(session(cluster), "a")
