@@ -33,6 +33,8 @@ LEAST_REVISIT_BYTES = 0
 FILE_RECORDS = 20_000
 # Equal rows that one task writes the records of.
 REPEATS = 1_000
+# Different repeated rows whose keys, of 40 bytes, are sent to all executors; more of them are joined by a shuffle.
+MOST_BROADCAST = 100_000
 DATE = "2024-01-01T00:00:00Z"
 
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -166,7 +168,9 @@ def write_archives(
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("sha", F.sha1("payload"))
     rows = rows.withColumn("same", F.md5(F.to_json(F.struct("page", "url", "sha"))))
-    repeated = unique_side(rows, "same", F.count("*").alias("times")).where("times > 1")
+    repeated = stored(unique_side(rows, "same", F.count("*").alias("times")).where("times > 1"), "repeated")
+    if repeated.count() <= MOST_BROADCAST:  # so that no payload is shuffled for the sake of few rows
+        repeated = F.broadcast(repeated)
     once = rows.join(repeated, "same", "left_anti").withColumns({"first": F.lit(0).cast("long"), "times": F.lit(1).cast("long")})
     some = rows.join(repeated, "same", "left_semi").groupBy("same", "page", "url", "sha").agg(F.first("payload").alias("payload"), F.count("*").alias("total"))
     some = some.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(REPEATS).cast("long"))))
