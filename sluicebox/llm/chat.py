@@ -64,21 +64,58 @@ def _heads(single: DataFrame) -> DataFrame:
     return found.select(*KEY, "head", "distance")
 
 
+def _without_implied(edges: DataFrame) -> DataFrame:
+    """The dependencies but those that others imply, which change neither levels nor cycles.
+
+    The latest earlier dependency of each call makes a forest. A call also depends on all that its path in there leads to,
+    and a dependency on one of these says nothing new. Whether it is one is looked up by jumps that double. All links of the
+    forest stay, so whatever is left out is still reached, on a longer way.
+    """
+    earlier = edges.where("needed_place < place").groupBy(*KEY).agg(F.max_by("needed", "needed_place").alias("needed"))
+    forest = stored(earlier, "forest")
+    extra = stored(edges.join(forest, [*KEY, "needed"], "left_anti").select(*KEY, "needed"), "extra")
+    if extra.isEmpty():
+        return edges
+    depths = stored(_heads(forest), "depths")
+    needed = depths.select(
+        "conv_id", F.col("call_id").alias("needed"), F.col("head").alias("needed_head"), F.col("distance").alias("needed_distance")
+    )
+    found = extra.join(depths, KEY).join(needed, ["conv_id", "needed"], "left")
+    found = found.where(F.col("head") == F.coalesce("needed_head", "needed")).select(
+        *KEY, "needed", F.col("call_id").alias("at"), (F.col("distance") - F.coalesce("needed_distance", F.lit(0))).alias("steps")
+    )
+    found = stored(found.where("steps > 1"), "steps")
+    longest = found.agg(F.max("steps")).first()[0] or 0
+    above = forest.select("conv_id", F.col("call_id").alias("at"), F.col("needed").alias("above"))
+    jump = 1
+    while jump <= longest:
+        moved = F.when(F.col("steps").bitwiseAND(F.lit(jump)) != 0, F.col("above")).otherwise(F.col("at"))
+        found = stored(found.join(above, ["conv_id", "at"], "left").select(*KEY, "needed", moved.alias("at"), "steps"), "steps")
+        jump *= 2
+        if jump <= longest:
+            further = above.select("conv_id", F.col("at").alias("above"), F.col("above").alias("further"))
+            above = stored(above.join(further, ["conv_id", "above"]).select("conv_id", "at", F.col("further").alias("above")), "jumps")
+    return edges.join(found.where("at = needed").select(*KEY, "needed"), [*KEY, "needed"], "left_anti")
+
+
 def levels(calls: DataFrame, depends_on: str = "depends_on") -> DataFrame:
     """Each call with ``level``: 0 without dependencies, else one more than the highest of them.
 
     Dependencies on calls that the conversation lacks are passed over. Calls in a cycle, or behind one, have no level.
-    Chains of calls with one dependency each are jumped over first; rounds then go over calls with several
-    dependencies only, as many as lie one behind another.
+    Dependencies that others imply are left out first, by ``turn`` if there is one, and chains of calls with one dependency
+    each are jumped over; rounds then go over calls with several dependencies only, as many as lie one behind another.
+    Each round reads what the one before it wrote, so that plans do not grow with the rounds.
     """
-    nodes = stored(calls.select(*KEY), "calls")
-    edges = calls.select("conv_id", "call_id", F.explode(F.array_distinct(depends_on)).alias("needed"))
-    edges = edges.join(nodes.withColumnRenamed("call_id", "needed"), ["conv_id", "needed"], "left_semi")
-    edges = stored(edges.select(*KEY, "needed"), "dependencies")
+    place = F.struct(*[F.col(name) for name in ("turn",) if name in calls.columns], F.col("call_id")).alias("place")
+    nodes = stored(calls.select(*KEY, place), "calls")
+    edges = calls.select(*KEY, place, F.explode(F.array_distinct(depends_on)).alias("needed"))
+    needed = nodes.select("conv_id", F.col("call_id").alias("needed"), F.col("place").alias("needed_place"))
+    edges = stored(edges.join(needed, ["conv_id", "needed"]).select(*KEY, "place", "needed", "needed_place"), "dependencies")
+    edges = stored(_without_implied(edges).select(*KEY, "needed"), "dependencies")
+    nodes = nodes.select(*KEY)
     counted = edges.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("needed").alias("needed"))
     heads = stored(_heads(counted.where("n = 1")), "heads")
 
-    taken = stored(nodes.join(edges, KEY, "left_anti").withColumn("level", F.lit(0).cast("long")), "levels")
     # Calls with several dependencies, each with the head of its chain; a call that is a head is its own.
     several = edges.join(counted.where("n > 1").select(*KEY, "n"), KEY)
     through = heads.select("conv_id", F.col("call_id").alias("needed"), "head", "distance")
@@ -88,15 +125,18 @@ def levels(calls: DataFrame, depends_on: str = "depends_on") -> DataFrame:
         *KEY, "n", F.when(F.col("chained"), F.col("head")).otherwise(F.col("needed")).alias("head"), F.coalesce("distance", F.lit(0)).alias("distance")
     )
     several = stored(several, "several")
-    new = taken
-    while not several.isEmpty() and not new.isEmpty():
-        at = taken.select("conv_id", F.col("call_id").alias("head"), "level")
-        ready = several.join(at, ["conv_id", "head"]).groupBy(*KEY, "n").agg(
-            F.count("*").alias("met"), F.max(F.expr("level + distance + 1")).alias("level")
-        )
-        new = stored(ready.where("met = n").select(*KEY, "level"), "levels")
-        taken = taken.union(new)
-        several = stored(several.join(new.select(*KEY), KEY, "left_anti").select(several.columns), "several")
+    # Of each call how many dependencies have a level so far, and the level these give it; it is taken when all have one.
+    zero = F.lit(0).cast("long")
+    met = stored(nodes.join(edges, KEY, "left_anti").select(*KEY, zero.alias("n"), zero.alias("met"), zero.alias("level")), "levels")
+    rounds = [met]
+    while not several.isEmpty() and not met.where("met = n").isEmpty():
+        at = met.where("met = n").select("conv_id", F.col("call_id").alias("head"), "level")
+        more = several.join(at, ["conv_id", "head"]).select(*KEY, "n", F.lit(1).cast("long").alias("met"), F.expr("level + distance + 1").alias("level"))
+        both = met.where("met < n").unionByName(more).groupBy(*KEY, "n").agg(F.sum("met").alias("met"), F.max("level").alias("level"))
+        met = stored(both, "levels")
+        rounds.append(met)
+    written = [path for some in rounds for path in some.inputFiles()]
+    taken = calls.sparkSession.read.schema(met.schema).parquet(*written).where("met = n").select(*KEY, "level")
     at = taken.select("conv_id", F.col("call_id").alias("head"), F.col("level").alias("base"))
     chains = heads.join(at, ["conv_id", "head"]).select(*KEY, F.expr("base + distance").alias("level"))
     return nodes.join(taken.union(chains), KEY, "left").select(*KEY, F.col("level").cast("int").alias("level"))

@@ -131,3 +131,22 @@ def test_chains_forks_and_cycles_are_ordered(spark):
     rows += [(3, f"n{i}", [f"n{k}" for k in random.sample(range(i), min(i, random.choice([0, 1, 1, 2, 3])))]) for i in range(60)]
     calls = spark.createDataFrame([(c, i, 0, "search", "{}", deps) for c, i, deps in rows], CALLS)
     assert {(row.conv_id, row.call_id): row.level for row in chat.levels(calls).collect()} == levels_of(rows)
+
+
+def test_plans_and_rounds_do_not_grow_with_the_depth(spark, monkeypatch):
+    """Dependencies that others imply take no rounds; where rounds are needed, their plans stay as large as they are."""
+    written = []
+    monkeypatch.setattr(chat, "stored", lambda df, name, store=chat.stored: written.append(name) or store(df, name))
+
+    def found(rows):
+        written.clear()
+        calls = spark.createDataFrame([(c, i, turn, "search", "{}", deps) for c, i, turn, deps in rows], CALLS)
+        level = chat.levels(calls)
+        assert {(row.conv_id, row.call_id): row.level for row in level.collect()} == levels_of([(c, i, deps) for c, i, _, deps in rows])
+        return len(written), level._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+
+    back = [(1, f"c{i}", i, [f"c{i - 1}", f"c{i - 3}", f"c{i - 4}"]) for i in range(130)] + [(2, f"c{i}", i, [f"c{(i + 1) % 9}", f"c{i - 2}"]) for i in range(9)]
+    assert found(back)[0] < 100
+    pairs = [(1, f"{side}{i}", i, [f"a{i - 1}", f"b{i - 1}"]) for side in "ab" for i in range(12)]
+    (few, small), (many, large) = found([row for row in pairs if row[2] < 4]), found(pairs)
+    assert many - few == 8 and small == large
