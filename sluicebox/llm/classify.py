@@ -8,11 +8,13 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from sluicebox.sources.scratch import new_folder
+
 # Rows of either label that a threshold needs.
 LEAST_ROWS = 20
 # A long text is learned from in so many slices.
@@ -91,6 +93,75 @@ def labelled_sample(
     return found.select("id", "row.*").repartition(1).sortWithinPartitions(*order)
 
 
+def labelled_rows(
+    docs: DataFrame, labels: DataFrame, label_col: str, rows: int, chars: int, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, int]:
+    """All labelled rows that may be learned from, written in shards, and the number of shards.
+
+    A shard holds about ``rows`` rows and ``chars`` characters, by the hash of the id and in the order of another one. The
+    columns are ``shard``, ``place`` (a number of 24 bits from the id), ``calibrates`` (a sixth of the rows), ``text`` (whole),
+    ``label`` and ``lang``. Repeated ids and labels are treated as in ``labelled_sample``. Texts are shuffled once.
+    """
+    row_id, language = F.col(f"`{id_col}`"), F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    found = docs.where(learned_from(row_id)).select(row_id.alias("id"), text.alias("text"), language.alias("lang"))
+    marks = labels.select(row_id.alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
+    marks = marks.where(learned_from(F.col("id")) & F.col("label").isin(0, 1))
+    kind = T.StringType() if found.schema["id"].dataType != marks.schema["id"].dataType else found.schema["id"].dataType
+    found, marks = found.withColumn("id", F.col("id").cast(kind)), marks.withColumn("id", F.col("id").cast(kind))
+    size = found.select("id", F.length("text").alias("chars")).join(marks, "id", "left_semi").agg(F.count("*"), F.sum("chars")).first()
+    shards = max(1, -(-size[0] // rows), -(-(size[1] or 0) // chars))
+    none = F.lit(None)
+    both = found.select("id", F.struct("text", "lang").alias("row"), none.cast("int").alias("label")).unionByName(
+        marks.select("id", none.cast("struct<text:string,lang:string>").alias("row"), "label")
+    )
+    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
+    merged = both.select(shard, "*").repartition(shards, "shard").groupBy("shard", "id").agg(F.min("row").alias("row"), F.max("label").alias("label"))
+    code = F.crc32(F.col("id").cast("string"))
+    merged = merged.where("row IS NOT NULL AND label IS NOT NULL").sortWithinPartitions("shard", code, "id").select(
+        "shard",
+        F.shiftright(code, 8).cast("int").alias("place"),
+        (code >= (1 << 32) // 6 * 5).alias("calibrates"),
+        "row.text",
+        "label",
+        "row.lang",
+    )
+    path = new_folder(docs.sparkSession, "labelled")
+    merged.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(merged.schema).parquet(path), shards
+
+
+def best_thresholds(scored: DataFrame) -> dict[str, float]:
+    """``best_threshold`` of all rows, as "", and of those of each language, where no label is rare.
+
+    Rows have ``score``, ``label`` and ``lang``. Equal scores are counted together; running counts are taken within narrow
+    ranges of scores and added to those of the ranges above.
+    """
+    group = F.explode(F.array_distinct(F.array(F.lit(""), F.coalesce("lang", F.lit(""))))).alias("group")
+    level = F.floor(F.log(F.col("score") / (1 - F.col("score"))) * 16).alias("level")
+    counts = scored.select(group, "score", "label").groupBy("group", "score").agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
+    counts = counts.select("*", level)
+    above = Window.partitionBy("group").orderBy(F.desc("level"))
+    before = above.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.groupBy("group", "level").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.max("score").alias("top"))
+    ranges = ranges.select(
+        "group",
+        "level",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_above"),
+        F.coalesce(F.sum("hits").over(before), F.lit(0)).alias("hits_above"),
+        F.lead("top").over(above).alias("below"),
+        F.sum("n").over(Window.partitionBy("group")).alias("n_all"),
+        F.sum("hits").over(Window.partitionBy("group")).alias("hits_all"),
+    ).where(F.least("hits_all", F.expr("n_all - hits_all")) >= LEAST_ROWS)
+    order = Window.partitionBy("group", "level").orderBy(F.desc("score"))
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    f1 = 2 * (F.col("hits_above") + F.sum("hits").over(upto)) / (F.col("n_above") + F.sum("n").over(upto) + F.col("hits_all"))
+    following = F.coalesce(F.lead("score").over(order), "below", "score")
+    best = counts.join(ranges, ["group", "level"]).select("group", "score", following.alias("following"), f1.alias("f1"))
+    best = best.groupBy("group").agg(F.max(F.struct("f1", "score", "following")).alias("best")).select("group", "best.*")
+    return {row.group: float(probabilities((odds(row.score) + odds(row.following)) / 2)) for row in best.collect()}
+
+
 def fitted(sample: DataFrame, fit: Callable[[list[str], list[int], list[str | None]], Scorer]) -> Scorer:
     """``fit`` of a sample's texts, labels and languages, in one task; the driver gets the model alone.
 

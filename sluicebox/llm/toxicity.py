@@ -12,26 +12,35 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicebox.llm.classify import best_threshold, fitted, labelled_sample, odds, probabilities, with_scores
+from sluicebox.llm.classify import best_threshold, best_thresholds, labelled_rows, odds, probabilities, with_scores
 from sluicebox.llm.hashing import Words, batches
+from sluicebox.llm.work import stored
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 PREFIXES = (None, 4, 5, 6, 7, 8)
-# The model is fitted on at most so many labelled rows, those whose ids hash lowest; longer texts than this are learned
-# from in slices spread over the whole text. A sixth of them is kept for calibration.
-SAMPLE_ROWS = 9_000
+# All labelled rows are learned from, whole, in shards of about so many rows and characters; a sixth is for calibration.
+SHARD_ROWS = 9_000
+SHARD_CHARS = 24_000_000
+# Texts of a step are looked through together up to about so many words, a longer one alone.
 SAMPLE_CHARS = 20_000
+# Steps on the first shard. All shards then go on from there in so many rounds, each with another part of their rows; after
+# a round the mean of what they learned is the next start.
 STEPS = 1_500
+ROUNDS = 2
 # Hashes in fewer of the texts are not learned: what hardly recurs could only be memorised.
 LEAST_TEXTS = 4
 BATCH = 32
 RATE = 0.01
+ROUND_RATE = 0.003
+# Changes are summed as whole multiples of this, so that sums do not depend on their order.
+UNIT = 2.0**-24
 # The score at which a text counts as toxic where its language has no threshold of its own.
 THRESHOLD = 0.3
 
@@ -93,30 +102,45 @@ class TextCnn:
         square[where] = 0.99 * square[where] + 0.01 * gradient**2
         value[where] -= rate * mean[where] / (np.sqrt(square[where]) + 1e-6)
 
-    def train(self, features: np.ndarray, first: np.ndarray, labels: np.ndarray, rate: float) -> None:
-        """One step on some texts."""
+    def _strongest(self, features: np.ndarray, first: np.ndarray) -> tuple[list, list, list]:
+        """For each width, each text's largest responses, and the vectors and the features of the words they come from."""
         ends = _last_places(first, len(features))
         vectors = self._vectors(features)
-        pooled, places = [], []
-        for found in self._responses(vectors):
+        padded = np.concatenate([vectors, np.zeros((max(WIDTHS), DIMENSIONS), np.float32)])
+        numbers = np.concatenate([features, np.full((max(WIDTHS), features.shape[1]), BUCKETS, np.int32)])
+        pooled, seen, named = [], [], []
+        for width, found in zip(WIDTHS, self._responses(vectors), strict=True):
             place = np.stack([a + found[a:b].argmax(axis=0) for a, b in zip(first.tolist(), ends.tolist(), strict=True)])
-            places.append(place)
             pooled.append(np.take_along_axis(found, place, axis=0))
+            seen.append(np.stack([padded[place + k] for k in range(width)]))
+            named.append(np.stack([numbers[place + k] for k in range(width)]))
+        return pooled, seen, named
+
+    def train(self, texts: list[np.ndarray], labels: np.ndarray, rate: float) -> None:
+        """One step on the features of some texts."""
+        parts, size = [[]], 0
+        for some in texts:
+            if parts[-1] and size + len(some) > SAMPLE_CHARS:
+                parts.append([])
+                size = 0
+            parts[-1].append(some)
+            size += len(some)
+        found = [self._strongest(*_joined(part)) for part in parts]
+        pooled = [np.concatenate([x[0][i] for x in found]) for i in range(len(WIDTHS))]
+        seen, named = ([np.concatenate([x[j][i] for x in found], axis=1) for i in range(len(WIDTHS))] for j in (1, 2))
         active = np.concatenate(pooled, axis=1)
         chance = 1 / (1 + np.exp(-np.clip(active @ self.out + self.out_bias, -30, 30)))
         wrong = ((chance - labels) / len(labels)).astype(np.float32)
         back = wrong[:, None] * self.out
 
         rows, gradients = [], []
-        padded = np.concatenate([vectors, np.zeros((max(WIDTHS), DIMENSIONS), np.float32)])
-        numbers = np.concatenate([features, np.full((max(WIDTHS), features.shape[1]), BUCKETS, np.int32)])
         updates = []
-        for i, (weights, place) in enumerate(zip(self.filters, places, strict=True)):
+        for i, weights in enumerate(self.filters):
             part = back[:, i * FILTERS : (i + 1) * FILTERS]
             change = np.empty_like(weights)
             for k in range(len(weights)):
-                change[k] = np.einsum("bfd,bf->df", padded[place + k], part)
-                rows.append(numbers[place + k].reshape(-1, features.shape[1]))
+                change[k] = np.einsum("bfd,bf->df", seen[i][k], part)
+                rows.append(named[i][k].reshape(-1, named[i].shape[-1]))
                 gradients.append(np.einsum("bf,df->bfd", part, weights[k]).reshape(-1, DIMENSIONS))
             updates.append((i, change, part.sum(axis=0)))
         for i, change, bias in updates:
@@ -133,6 +157,35 @@ class TextCnn:
         keep = touched != BUCKETS
         self._step("table", self.table, total[keep], rate, touched[keep])
 
+    def learn(self, features: list[np.ndarray], to_learn: np.ndarray, labels: np.ndarray, steps: int, rate: float, seed: int) -> None:
+        """Steps on the texts in random order, again and again, with a falling rate; ``to_learn`` is what a feature stands for."""
+        order, draw = np.arange(len(labels)), np.random.default_rng(seed)
+        at = len(order)
+        for step in range(steps):
+            if at >= len(order):
+                draw.shuffle(order)
+                at = 0
+            some, at = order[at : at + BATCH], at + BATCH
+            self.train([to_learn[features[i]] for i in some], labels[some], rate * 0.1 ** (step / steps))
+        self.moments = {}
+
+    def numbers(self) -> np.ndarray:
+        """All weights in rows: those of the buckets, then the others."""
+        others = np.concatenate([x.ravel() for x in (*self.filters, *self.biases, self.out)] + [[self.out_bias]])
+        others = np.pad(others, (0, -len(others) % DIMENSIONS)).reshape(-1, DIMENSIONS)
+        return np.concatenate([self.table[:BUCKETS].astype(np.float64), others])
+
+    def changed(self, change: np.ndarray) -> TextCnn:
+        """A network whose ``numbers`` are these and the change."""
+        found = (self.numbers() + change).astype(np.float32)
+        table = np.concatenate([found[:BUCKETS], np.zeros((1, DIMENSIONS), np.float32)])
+        parts, rest = [], found[BUCKETS:].ravel()
+        for old in (*self.filters, *self.biases, self.out):
+            parts.append(rest[: old.size].reshape(old.shape))
+            rest = rest[old.size :]
+        n = len(WIDTHS)
+        return TextCnn(table, parts[:n], parts[n : 2 * n], parts[-1], float(rest[0]))
+
 
 def _last_places(first: np.ndarray, size: int) -> np.ndarray:
     """Where each text's places end: behind the first row of its gap. Later ones would reach into the next text."""
@@ -192,37 +245,124 @@ def fit(texts: list[str | None], labels: list[int], languages: list[str | None],
     network.table[rare] = 0
     to_learn = np.arange(BUCKETS + 1, dtype=np.int32)
     to_learn[rare] = BUCKETS
-    order, draw = np.arange(len(y) - held), np.random.default_rng(seed)
-    share = y[: len(order)].mean()
-    network.out_bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-    at = len(order)
-    for step in range(STEPS):
-        if at >= len(order):
-            draw.shuffle(order)
-            at = 0
-        some, at = order[at : at + BATCH], at + BATCH
-        network.train(*_joined([to_learn[features[i]] for i in some]), y[some], RATE * 0.1 ** (step / STEPS))
-    network.moments = {}
-    kept = y[len(order) :]
-    scores = model.scores(texts[len(order) :])
+    known = len(y) - held
+    network.out_bias = _start_bias(y[:known].mean())
+    network.learn(features[:known], to_learn, y[:known], STEPS, RATE, seed)
+    kept = y[known:]
+    scores = model.scores(texts[known:])
     best = best_threshold(scores, kept, 0.5)
     # The best split of the calibration rows becomes the common threshold.
     model.shift = odds(THRESHOLD) - odds(best)
-    scores = model.scores(texts[len(order) :])
-    spoken = np.array([x or "" for x in languages[len(order) :]])
+    scores = model.scores(texts[known:])
+    spoken = np.array([x or "" for x in languages[known:]])
     model.thresholds = {
         str(name): best_threshold(scores[spoken == name], kept[spoken == name], THRESHOLD) for name in np.unique(spoken) if name
     }
     return model
 
 
-def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
-    """Fit on a bounded sample of the labelled rows that may be learned from, see ``labelled_sample``.
+def _start_bias(share: float) -> float:
+    return float(np.log((share + 1e-3) / (1 - share + 1e-3)))
+
+
+def _texts_with(rows: DataFrame) -> np.ndarray:
+    """In how many texts each bucket occurs."""
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts_with = np.zeros(BUCKETS, np.int64)
+        for batch in found:
+            for some in texts_features(batch.column(0).to_pylist()):
+                texts_with[np.unique(some)] += 1
+        bucket = np.flatnonzero(texts_with)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(texts_with[bucket])], names=["bucket", "n"])
+
+    counts = rows.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    texts_with = np.zeros(BUCKETS + 1, np.int64)
+    texts_with[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
+    return texts_with
 
-    Without such rows all texts get the same score: about 0.02, which is not toxic.
+
+def _learned(network: TextCnn, rows: DataFrame, to_learn: np.ndarray, steps: int | None, rate: float, seed: int) -> TextCnn:
+    """The mean of what each shard of the rows makes of the network, in so many steps or once through its rows.
+
+    A shard counts by its rows, and for a bucket only where it has met it. Tasks give sums, which Spark adds up.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((network, to_learn))
+    values = [f"v{k}" for k in range(DIMENSIONS)]
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, kept = shared.value
+        before = start.numbers()
+        total, weight = np.zeros(before.shape, np.int64), np.zeros(len(before), np.int64)
+
+        def add(features: list[np.ndarray], labels: list[int]) -> None:
+            own = start.changed(np.zeros_like(before))
+            own.learn(features, kept, np.array(labels, dtype=np.float64), steps or -(-len(labels) // BATCH), rate, seed)
+            change = np.rint((own.numbers() - before) / UNIT).astype(np.int64)
+            met = change.any(axis=1)
+            met[BUCKETS:] = True
+            total[met] += change[met] * len(labels)
+            weight[met] += len(labels)
+
+        features, labels, at = [], [], None
+        for batch in found:
+            shards = batch.column(0).to_numpy()
+            bounds = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                if a == b:
+                    continue
+                if at is not None and shards[a] != at:
+                    add(features, labels)
+                    features, labels = [], []
+                at = shards[a]
+                features += texts_features(batch.column(1).slice(a, b - a).to_pylist())
+                labels += batch.column(2).slice(a, b - a).to_pylist()
+        if labels:
+            add(features, labels)
+        place = np.flatnonzero(weight)
+        columns = [place.astype(np.int32), weight[place], *(total[place, k] for k in range(DIMENSIONS))]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["place", "weight", *values])
+
+    schema = ", ".join(["place int", "weight long", *(f"{name} long" for name in values)])
+    sums = rows.select("shard", "text", "label").mapInArrow(run, schema).groupBy("place").agg(*[F.sum(x).alias(x) for x in ("weight", *values)])
+    sums = sums.toArrow()
+    change = np.zeros(network.numbers().shape)
+    found = np.stack([sums.column(name).to_numpy() for name in values], axis=1)
+    change[sums.column("place").to_numpy()] = found / sums.column("weight").to_numpy()[:, None] * UNIT
+    return network.changed(change)
+
+
+def fit_on(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", seed: int = 7
+) -> ToxicityModel:
+    """Fit on all labelled rows that may be learned from, see ``labelled_rows``, and on their whole texts.
+
+    Counts, weights and thresholds come from all shards. Without such rows all texts get the same score: about 0.02, which is
+    not toxic.
     """
-    found = labelled_sample(docs, labels, label_col, SAMPLE_ROWS, SAMPLE_CHARS, id_col, text_col)
-    return fitted(found, fit)
+    rows, shards = labelled_rows(docs, labels, label_col, SHARD_ROWS, SHARD_CHARS, id_col, text_col)
+    to_fit = rows.where("NOT calibrates")
+    n, hits = to_fit.agg(F.count("*"), F.sum("label")).first()
+    if not n or hits in (0, n):
+        return fit([], [int(bool(hits))] if n else [], [], seed)
+    network = TextCnn.new(seed)
+    rare = np.flatnonzero(_texts_with(to_fit) < LEAST_TEXTS)
+    network.table[rare] = 0
+    to_learn = np.arange(BUCKETS + 1, dtype=np.int32)
+    to_learn[rare] = BUCKETS
+    network.out_bias = _start_bias(hits / n)
+    start = to_fit.where(F.col("shard") == to_fit.agg(F.min("shard")).first()[0])
+    network = _learned(network, start, to_learn, STEPS, RATE, seed)
+    for k in range(ROUNDS if shards > 1 else 0):
+        part = to_fit.where(F.col("place") % ROUNDS == k)
+        network = _learned(network, part, to_learn, None, ROUND_RATE * 0.1**k, seed + k)
+    model = ToxicityModel(network, 0.0, {})
+    scored = with_scores(rows.where("calibrates").select("label", "lang", "text"), model).select("score", "label", "lang")
+    best = best_thresholds(stored(scored, "calibration"))
+    # The best split of all calibration rows becomes the common threshold.
+    model.shift = odds(THRESHOLD) - odds(best.pop("", 0.5))
+    model.thresholds = {name: float(probabilities(odds(value) + model.shift)) for name, value in best.items()}
+    return model
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
@@ -234,8 +374,9 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
     scored = with_scores(docs.drop("toxic"), model, text_col)
     threshold = F.lit(THRESHOLD)
     if "lang" in scored.columns:
-        for name, value in sorted(model.thresholds.items()):
-            threshold = F.when(F.col("lang") == name, value).otherwise(threshold)
+        known = [F.lit(x) for pair in sorted(model.thresholds.items()) for x in pair]
+        if known:
+            threshold = F.coalesce(F.try_element_at(F.create_map(*known), F.col("lang").cast("string")), threshold)
     return scored.withColumn("toxic", F.col("score") >= threshold)
 
 

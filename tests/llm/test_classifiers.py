@@ -247,3 +247,40 @@ def test_quality_edges(spark):
     assert len(rows) == 4 and all(0 <= row.score <= 1 for row in rows) and len({row.score for row in rows if not row.text}) == 1
     assert quality.score(df.limit(0), model).collect() == []
     assert len({row.score for row in quality.score(df, quality.fit_on(df.limit(0), labels.limit(0))).collect()}) == 1
+
+
+def test_toxicity_is_learned_from_all_rows_and_whole_texts(spark, monkeypatch):
+    """Of two toxic words one stands in the middle of long texts, the other in rows of later shards only."""
+    draw = np.random.default_rng(3)
+    ids = spark.range(900).select("id", F.pmod(F.xxhash64("id"), F.lit(3)).alias("part")).collect()
+    rows = []
+    for doc, part in ids:
+        words, toxic = draw.choice(["kind", "words", "gentle", "day", "sun"], 6).tolist(), int(doc % 3 == 0)
+        if toxic:
+            words.insert(3, "scum" if part and doc % 2 else "vile")
+        text = " ".join(words)
+        rows.append((doc, " ".join(["fine"] * 800 + [text] + ["fine"] * 7_000) if "vile" in words else text, toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 226, raising=False)
+    monkeypatch.setattr(toxicity, "STEPS", 200)
+    monkeypatch.setattr(toxicity, "ROUND_RATE", 0.02, raising=False)
+    found, shards = classify.labelled_rows(df, df, "toxic", toxicity.SHARD_ROWS, toxicity.SHARD_CHARS)
+    assert shards == 3 and found.count() == len([i for i, _ in ids if not in_part(i, 4, 2)])
+    assert sorted(row.text for row in found.collect()) == sorted(text for i, text, _ in rows if not in_part(i, 4, 2))
+    assert found.where("shard = 0 AND text LIKE '%scum%'").isEmpty() and not found.where("text LIKE '%scum%'").isEmpty()
+    model = toxicity.fit_on(df.select("doc_id", "text"), df)
+    clean, vile, scum = model.scores(["kind sun", "fine " * 900 + "kind vile day", "kind scum day"])
+    assert clean < 0.3 <= min(vile, scum)
+
+
+def test_best_thresholds_equal_the_plain_ones(spark):
+    draw = np.random.default_rng(5)
+    score, lang = classify.probabilities(np.round(draw.normal(0, 4, 3000), 2)), draw.choice(["a", "b", "", "rare"], 3000, p=[0.5, 0.39, 0.1, 0.01])
+    label = (draw.random(3000) < score).astype(int)
+    rows = [(float(s), int(y), str(x) if x != "" else None) for s, y, x in zip(score, label, lang, strict=True)]
+    found = classify.best_thresholds(spark.createDataFrame(rows, "score double, label int, lang string"))
+    assert found.keys() == {"", "a", "b"}
+    for name, value in found.items():
+        part = lang == name if name else lang == lang
+        assert value == pytest.approx(classify.best_threshold(score[part], label[part], 0.5), rel=1e-9)
+    assert classify.best_thresholds(spark.createDataFrame([], "score double, label int, lang string")) == {}
