@@ -187,9 +187,13 @@ def fitted(sample: DataFrame, fit: Callable[[list[str], list[int], list[str | No
 def with_scores(docs: DataFrame, model: Scorer, text_col: str = "text") -> DataFrame:
     """The input with the model's ``score`` of the whole text; a column of that name is replaced."""
     kept = [name for name in docs.columns if name != "score"]
-    text = F.col(f"`{text_col}`").cast("string").alias("__scored_text")
-    source = docs.select(*[F.col(f"`{name}`") for name in kept], text)
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType())])
+    source = docs.select(*[F.col(f"`{name}`") for name in kept])
+    schema = T.StructType([*source.schema.fields, T.StructField("score", T.DoubleType())])
+    # A text that is among the columns goes to Python once.
+    at_text = next((k for k, x in enumerate(source.schema) if x.name == text_col and x.dataType == T.StringType()), len(kept))
+    if at_text == len(kept):
+        text = F.col(f"`{text_col}`").cast("string").alias("__scored_text")
+        source = docs.select(*[F.col(f"`{name}`") for name in kept], text)
     arrow = to_arrow_schema(schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -197,7 +201,7 @@ def with_scores(docs: DataFrame, model: Scorer, text_col: str = "text") -> DataF
         for batch in found:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                scores = shared.value.scores(part.column(len(kept)).to_pylist())
+                scores = shared.value.scores(part.column(at_text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], pa.array(scores, pa.float64())], schema=arrow)
 
     return source.mapInArrow(run, schema)

@@ -46,12 +46,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def batches(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """The texts as UTF-8 in groups of about BATCH_BYTES, each with the index of its first text."""
+def batches(texts: list[str | None], most: int = BATCH_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts as UTF-8 in groups of about ``most`` bytes, each with the index of its first text."""
     first, group, size = 0, [], 0
     for i, text in enumerate(texts):
         raw = (text or "").encode("utf-8", "surrogatepass")
-        if group and size + len(raw) > BATCH_BYTES:
+        if group and size + len(raw) > most:
             yield first, group
             first, group, size = i, [], 0
         group.append(raw)

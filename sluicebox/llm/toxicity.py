@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sluicebox.llm.classify import best_threshold, best_thresholds, labelled_rows, odds, probabilities, with_scores
 from sluicebox.llm.hashing import Words, batches
-from sluicebox.llm.work import stored
+from sluicebox.llm.work import small_batches, stored
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -30,6 +30,9 @@ SHARD_ROWS = 9_000
 SHARD_CHARS = 24_000_000
 # Texts of a step are looked through together up to about so many words, a longer one alone.
 SAMPLE_CHARS = 20_000
+# Rows that Python gets at a time, and bytes of texts whose words have their features in memory at once, or one longer text.
+BATCH_ROWS = 256
+GROUP_BYTES = 1 << 18
 # Steps on the first shard. All shards then go on from there in so many rounds, each with another part of their rows; after
 # a round the mean of what they learned is the next start.
 STEPS = 1_500
@@ -200,7 +203,7 @@ def _joined(some: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def texts_features(texts: list[str | None]) -> Iterator[np.ndarray]:
-    for _, group in batches(texts):
+    for _, group in batches(texts, GROUP_BYTES):
         words = Words(group)
         found = word_features(words).astype(np.uint16)  # half the memory, as a gap has no number here
         yield from np.split(found, words.first[1:-1])
@@ -214,14 +217,8 @@ class ToxicityModel:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         found = []
-        for _, group in batches(texts):
-            words = Words(group)
-            features, first = word_features(words), words.first[:-1]
-            # Open a gap behind each text.
-            gap = max(WIDTHS)
-            whole = np.full((len(features) + gap * len(group), features.shape[1]), BUCKETS, np.int32)
-            whole[np.arange(len(features)) + np.repeat(np.arange(len(group)), np.diff(words.first)) * gap] = features
-            found.append(self.network.logits(whole, first + np.arange(len(group)) * gap))
+        for at, group in batches(texts):
+            found.append(self.network.logits(*_joined(list(texts_features(texts[at : at + len(group)])))))
         logits = np.concatenate(found) if found else np.zeros(0)
         return probabilities(logits + self.shift)
 
@@ -276,7 +273,9 @@ def _texts_with(rows: DataFrame) -> np.ndarray:
         bucket = np.flatnonzero(texts_with)
         yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(texts_with[bucket])], names=["bucket", "n"])
 
-    counts = rows.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = rows.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    with small_batches(rows.sparkSession, BATCH_ROWS):
+        counts = counts.toArrow()
     texts_with = np.zeros(BUCKETS + 1, np.int64)
     texts_with[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
     return texts_with
@@ -325,7 +324,8 @@ def _learned(network: TextCnn, rows: DataFrame, to_learn: np.ndarray, steps: int
 
     schema = ", ".join(["place int", "weight long", *(f"{name} long" for name in values)])
     sums = rows.select("shard", "text", "label").mapInArrow(run, schema).groupBy("place").agg(*[F.sum(x).alias(x) for x in ("weight", *values)])
-    sums = sums.toArrow()
+    with small_batches(rows.sparkSession, BATCH_ROWS):
+        sums = sums.toArrow()
     change = np.zeros(network.numbers().shape)
     found = np.stack([sums.column(name).to_numpy() for name in values], axis=1)
     change[sums.column("place").to_numpy()] = found / sums.column("weight").to_numpy()[:, None] * UNIT
@@ -358,7 +358,9 @@ def fit_on(
         network = _learned(network, part, to_learn, None, ROUND_RATE * 0.1**k, seed + k)
     model = ToxicityModel(network, 0.0, {})
     scored = with_scores(rows.where("calibrates").select("label", "lang", "text"), model).select("score", "label", "lang")
-    best = best_thresholds(stored(scored, "calibration"))
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        scored = stored(scored, "calibration")
+    best = best_thresholds(scored)
     # The best split of all calibration rows becomes the common threshold.
     model.shift = odds(THRESHOLD) - odds(best.pop("", 0.5))
     model.thresholds = {name: float(probabilities(odds(value) + model.shift)) for name, value in best.items()}
@@ -381,7 +383,9 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """The rows that are not toxic, with the columns of the input."""
+    """The rows that are not toxic, with the columns of the input. They are written once, see ``small_batches``."""
     names = {name: f"__kept_{name}" for name in docs.columns if name in ("score", "toxic")}
     scored = score(docs.withColumnsRenamed(names), model, text_col).where("NOT toxic")
-    return scored.drop("score", "toxic").withColumnsRenamed({new: name for name, new in names.items()}).select(docs.columns)
+    kept = scored.drop("score", "toxic").withColumnsRenamed({new: name for name, new in names.items()}).select(docs.columns)
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        return stored(kept, "clean")

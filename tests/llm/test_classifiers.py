@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -273,6 +274,62 @@ def test_toxicity_is_learned_from_all_rows_and_whole_texts(spark, monkeypatch):
     assert clean < 0.3 <= min(vile, scum)
 
 
+def test_toxicity_gets_few_rows_at_a_time(spark, monkeypatch):
+    """Whatever is run while a model is fitted, and what drops toxic rows, which is written; the setting stays as it was."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(name), []
+
+    def noted(f):
+        def run(*args):
+            seen.append(int(spark.conf.get(name)))
+            return f(*args)
+
+        return run
+
+    df = spark.createDataFrame([(i, "vile" if i % 3 else "fine", int(i % 3 > 0)) for i in range(90)], "doc_id long, text string, toxic int")
+    monkeypatch.setattr(toxicity, "STEPS", 5)
+    monkeypatch.setattr(toxicity, "stored", noted(toxicity.stored))
+    monkeypatch.setattr(type(df), "toArrow", noted(type(df).toArrow))
+    model = toxicity.fit_on(df.select("doc_id", "text"), df)
+    assert len(seen) == 3 and max(seen) <= 256
+    kept = toxicity.drop_toxic(df, model)
+    assert len(seen) == 4 and max(seen) <= 256 and spark.conf.get(name) == before
+    toxic = {row.doc_id for row in toxicity.score(df, model).collect() if row.toxic}
+    assert sorted(row.doc_id for row in kept.collect()) == [i for i in range(90) if i not in toxic]
+
+
+def test_a_text_that_is_among_the_columns_is_sent_once(spark):
+    model = toxicity.fit(["fine"] * 9 + ["vile"], [0] * 9 + [1], [None] * 10)
+    df = spark.createDataFrame([(1, "vile", 2.0), (2, None, 3.0)], "doc_id long, text string, score double")
+
+    def sent(scored):
+        return "__scored_text" in scored._jdf.queryExecution().analyzed().toString()
+
+    assert not sent(classify.with_scores(df, model)) and sent(classify.with_scores(df.drop("score"), model, "doc_id"))
+    assert sent(classify.with_scores(df, model, "score"))
+    rows = classify.with_scores(df, model).orderBy("doc_id").collect()
+    assert [(row.doc_id, row.text) for row in rows] == [(1, "vile"), (2, None)]
+    assert [row.score for row in rows] == pytest.approx(model.scores(["vile", None]).tolist())
+    numbers = classify.with_scores(df, model, "doc_id").orderBy("doc_id").collect()
+    assert [row.score for row in numbers] == pytest.approx(model.scores(["1", "2"]).tolist())
+
+
+def test_words_have_their_features_in_memory_a_few_texts_at_a_time():
+    texts = [" ".join(f"word{i * j % 9973}" for j in range(400)) for i in range(400)]  # 1.3 MB
+    expected = [toxicity.word_features(Words([text.encode()])) for text in texts[:3]]
+    list(toxicity.texts_features(texts))  # tables of powers are kept
+    tracemalloc.start()
+    try:
+        most = 0
+        for k, found in enumerate(toxicity.texts_features(texts)):
+            if k < 3:
+                assert (found == expected[k]).all()
+            most = max(most, tracemalloc.get_traced_memory()[1])
+    finally:
+        tracemalloc.stop()
+    assert most < 16e6
+
+
 def test_best_thresholds_equal_the_plain_ones(spark):
     draw = np.random.default_rng(5)
     score, lang = classify.probabilities(np.round(draw.normal(0, 4, 3000), 2)), draw.choice(["a", "b", "", "rare"], 3000, p=[0.5, 0.39, 0.1, 0.01])
