@@ -25,8 +25,11 @@ from pyspark.sql import types as T
 
 CAPACITY = 2048
 END_ID = 1
-# Words of a task's tokenizer whose ids are kept; beyond it the store is emptied.
-CACHED_WORDS = 1_000_000
+# Words and parts of words whose ids a worker keeps twice over: when the store has so many, the older one is dropped. It stays
+# with the worker for later tasks, those of other stages too.
+CACHED_WORDS = 300_000
+# Ids and pieces that are sent on at a time.
+SENT_IDS, SENT_PIECES = 1 << 20, 4096
 # Texts of these characters can be tokenised word by word: their lower case is that of each character alone, nothing in
 # them composes, and their white space is the tokenizer's. Others go through the tokenizer as a whole.
 _PLAIN = r"\t\n\r\x20-\x7e\u00a0-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf"
@@ -35,7 +38,7 @@ _PER_TASK = 1 << 40
 
 
 class WordTokenizer:
-    """Token ids of a text as little-endian unsigned 32-bit numbers; each distinct word is encoded once."""
+    """Token ids of a text as little-endian unsigned 32-bit numbers; words seen lately are not encoded again."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -49,15 +52,17 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # A part of a word is a word too, so both are in one store.
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _parts_of(self, word: str) -> list[str]:
         """The tokenizer's split of a word in lower case, in short for letters with at most one other sign behind."""
-        word = word.lower()
+        lower = word.lower()
+        word = word if lower == word else lower  # one string in the store
         if word.isalpha():
             return [word]
         if word[-1] in ",.!?;:" and word[:-1].isalpha():
@@ -73,32 +78,40 @@ class WordTokenizer:
             ids = np.array(found.ids, dtype="<u4")
             ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(ends) != len(line) or ends[-1] != ids.nbytes:
-                self.parts.update((part, self._whole(part)) for part in line)
+                self.words.update((part, self._whole(part)) for part in line)
                 continue
             raw, start = ids.tobytes(), 0
             for part, end in zip(line, ends.tolist(), strict=True):
-                self.parts[part] = raw[start:end]
+                self.words[part] = raw[start:end]
                 start = end
 
     def _add_words(self, words: set[str]) -> None:
-        if len(self.words) > CACHED_WORDS:
-            self.words, self.parts = {}, {}
-        split = {word: self._parts_of(word) for word in words if "<|" not in word}
-        self._add_parts({part for parts in split.values() for part in parts if part not in self.parts})
-        get = self.parts.__getitem__
-        for word, parts in split.items():
-            self.words[word] = get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts))
-        for word in words.difference(split):
-            self.words[word] = self._whole(word)
+        known, older, split, parts = self.words, self.older, [], set()
+        for word in words:
+            if (ids := older.get(word)) is not None:
+                known[word] = ids
+            elif "<|" in word:
+                known[word] = self._whole(word)
+            else:
+                some = self._parts_of(word)
+                parts.update(some)
+                if len(some) != 1 or some[0] is not word:
+                    split.append((word, some))
+        parts.difference_update(known)
+        known.update((part, older[part]) for part in parts.intersection(older))
+        self._add_parts(parts.difference(older))
+        get = known.__getitem__
+        for word, some in split:
+            known[word] = get(some[0]) if len(some) == 1 else b"".join(map(get, some))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         plain = [None if self.other.search(text) else text.split() for text in texts]
-        known = self.words
-        new = {word for words in plain if words for word in words if word not in known}
-        if new:
+        every = set().union(*filter(None, plain))
+        if len(self.words) > CACHED_WORDS:
             # Before adding, so that no word of these texts can be missing.
-            if len(self.words) > CACHED_WORDS:
-                new = {word for words in plain if words for word in words}
+            self.words, self.older = {}, self.words
+        new = every.difference(self.words)
+        if new:
             self._add_words(new)
         get = self.words.__getitem__
         for text, words in zip(texts, plain, strict=True):
@@ -233,12 +246,13 @@ def pack(
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = Bins(capacity, TaskContext.get().partitionId() * _PER_TASK)
         out: list[tuple] = []
+        held = 0
         for (doc, start, ids, total), *place in rows(bins, batches, _tokenizer(tokenizer_path)):
-            kept = (memoryview(ids).cast("I").tolist(),) if with_ids else ()
-            out.append((doc, start, len(ids) // 4, zlib.crc32(ids), total, *place, *kept))
-            if len(out) >= 4096:
+            out.append((doc, start, len(ids) // 4, zlib.crc32(ids), total, *place, *([ids] if with_ids else [])))
+            held += len(ids) // 4 if with_ids else 0
+            if len(out) >= SENT_PIECES or held >= SENT_IDS:
                 yield _batch(out, arrow)
-                out = []
+                out, held = [], 0
         yield _batch(out, arrow)
 
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -248,5 +262,14 @@ def pack(
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """Rows as a batch; a list of ids is given as their bytes, so that no id becomes an object."""
     columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    return pa.RecordBatch.from_arrays([_array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _array(values: list, kind: pa.DataType) -> pa.Array:
+    if not pa.types.is_list(kind):
+        return pa.array(values, kind)
+    offsets = np.cumsum([0, *(len(ids) // 4 for ids in values)]).astype(np.int32)
+    ids = np.frombuffer(b"".join(values), dtype="<i4")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), type=kind)

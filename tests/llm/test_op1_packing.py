@@ -1,12 +1,17 @@
+import itertools
+import string
+import sys
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from sluicebox.llm import queries
-from sluicebox.llm.packing import Bins, WordTokenizer, _packed, pack
+from sluicebox.llm import packing, queries
+from sluicebox.llm.packing import Bins, WordTokenizer, _batch, _packed, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF_DIR = "/root/testdata/sf0.01"
@@ -98,6 +103,42 @@ def test_words_are_tokenised_as_the_whole_text():
         assert next(words.encode([text])) == _packed(tokenizer.encode(text, add_special_tokens=False).ids)
 
 
+def test_words_that_return_after_others(monkeypatch):
+    """Words and parts of words that are in the newer, in the older or in no store any more."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 12)
+    tokenizer, words = Tokenizer.from_file(PATH), WordTokenizer(PATH)
+    draw = np.random.default_rng(1)
+    some = ["word", "Word,", "WORD", "word's", "don't", "a1b2", "...", "x;y", "a<|endoftext|>b", "<|", "Ünder!", "中文", *(f"n{k}" for k in range(20))]
+    for _ in range(200):
+        texts = [" ".join(draw.choice(some, 4)) for _ in range(3)]
+        assert list(words.encode(texts)) == [_packed(tokenizer.encode(text, add_special_tokens=False).ids) for text in texts]
+        assert len(words.words) <= 12 + 40 and len(words.older) <= 12 + 40
+
+
+def test_memory_of_many_distinct_words():
+    words = WordTokenizer(PATH)
+    distinct = ("".join(letters) for letters in itertools.product(string.ascii_lowercase, repeat=5))
+    for _ in range(24):
+        text = " ".join(itertools.islice(distinct, 25_000))
+        assert len(list(words.encode([text]))) == 1
+    stores = [x for x in vars(words).values() if isinstance(x, dict)]
+    held = {id(x): sys.getsizeof(x) for store in stores for x in (store, *store.keys(), *store.values())}
+    assert sum(held.values()) < 100e6
+
+
+def test_memory_of_ids_sent_on():
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    rows = [(k, np.arange(k, k + 2048, dtype="<u4").tobytes()) for k in range(1000)] + [(1000, b"")]
+    tracemalloc.start()
+    batch = _batch(rows, schema)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * 4 * 2048 * 1000
+    assert batch.schema == schema and batch.column(0).to_pylist() == list(range(1001))
+    assert [batch.column(1)[k].as_py() for k in (0, 999, 1000)] == [list(range(2048)), list(range(999, 999 + 2048)), []]
+    assert _batch([], schema).num_rows == 0
+
+
 def test_edges(spark):
     long = "word " * 30_000
     rows = [(1, None, "x"), (2, "", "x"), (3, " \n", "x"), (4, long, "x"), (4, "twice", "y"), (None, "no id", "y")]
