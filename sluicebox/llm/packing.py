@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +28,20 @@ END_ID = 1
 # Words and parts of words whose ids a worker keeps twice over: when the store has so many, the older one is dropped. It stays
 # with the worker for later tasks, those of other stages too.
 CACHED_WORDS = 300_000
+# Bytes of texts that are tokenised together: the more, the more often a word is one that the same texts have already.
+ENCODED_BYTES = 2 << 20
+# Parts of words that the tokenizer gets at a time.
+ENCODED_PARTS = 4096
 # Ids and pieces that are sent on at a time.
 SENT_IDS, SENT_PIECES = 1 << 20, 4096
-# Texts of these characters can be tokenised word by word: their lower case is that of each character alone, nothing in
-# them composes, and their white space is the tokenizer's. Others go through the tokenizer as a whole.
-_PLAIN = r"\t\n\r\x20-\x7e\u00a0-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf"
+# Texts of other characters, or with what may be a special token, go through the tokenizer as a whole. The lower case of all
+# the rest is that of each character alone, nothing in them composes, and their white space is the tokenizer's, so they
+# can be tokenised word by word.
+_OTHER = (
+    r"[^\t\n\r\x20-\x7e\x{a0}-\x{12f}\x{131}-\x{17f}\x{2010}-\x{2027}\x{2030}-\x{205e}\x{20a0}-\x{20bf}]|<\|"
+)
+# One sign between a letter and white space is a part of its own; set apart, it leaves fewer distinct words.
+_SIGN_BEHIND = (r"(\pL)([,.!?;:])([ \n])", r"\1 \2\3")
 # Sequence numbers of a task start at its partition number times this.
 _PER_TASK = 1 << 40
 
@@ -43,10 +52,14 @@ class WordTokenizer:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.other = re.compile(f"[^{_PLAIN}]")
+        # The same model for parts of words, which are split and in lower case already.
+        self.of_parts = Tokenizer(self.tokenizer.model)
+        self.of_parts.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         # The tokenizer's own split into words; it drops white space and puts no token across two of them.
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -59,21 +72,10 @@ class WordTokenizer:
     def _whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _parts_of(self, word: str) -> list[str]:
-        """The tokenizer's split of a word in lower case, in short for letters with at most one other sign behind."""
-        lower = word.lower()
-        word = word if lower == word else lower  # one string in the store
-        if word.isalpha():
-            return [word]
-        if word[-1] in ",.!?;:" and word[:-1].isalpha():
-            return [word[:-1], word[-1]]
-        return self.split.findall(word)
-
-    def _add_parts(self, parts: Iterable[str]) -> None:
+    def _add_parts(self, new: list[str]) -> None:
         """Encode distinct parts together, and cut the ids where a token ends a part."""
-        new = list(parts)
         lines = [new[at : at + 64] for at in range(0, len(new), 64)]
-        encoded = self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
+        encoded = self.of_parts.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
         for line, found in zip(lines, encoded, strict=True):
             ids = np.array(found.ids, dtype="<u4")
             ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
@@ -85,37 +87,54 @@ class WordTokenizer:
                 self.words[part] = raw[start:end]
                 start = end
 
-    def _add_words(self, words: set[str]) -> None:
-        known, older, split, parts = self.words, self.older, [], set()
-        for word in words:
-            if (ids := older.get(word)) is not None:
-                known[word] = ids
-            elif "<|" in word:
-                known[word] = self._whole(word)
+    def _add_words(self, words: list[str]) -> None:
+        known, older, split = self.words, self.older, []
+        parts = {word for word in words if word not in older}
+        known.update((word, older[word]) for word in words if word in older)
+        for word in [word for word in parts if not word.isalpha()]:
+            some = self.split.findall(word)
+            if some != [word]:
+                split.append((word, some))
+                parts.discard(word)
+        for part in {part for _, some in split for part in some}.difference(known):
+            if (ids := older.get(part)) is not None:
+                known[part] = ids
             else:
-                some = self._parts_of(word)
-                parts.update(some)
-                if len(some) != 1 or some[0] is not word:
-                    split.append((word, some))
-        parts.difference_update(known)
-        known.update((part, older[part]) for part in parts.intersection(older))
-        self._add_parts(parts.difference(older))
-        get = known.__getitem__
+                parts.add(part)
+        new = list(parts)
+        for at in range(0, len(new), ENCODED_PARTS):
+            self._add_parts(new[at : at + ENCODED_PARTS])
         for word, some in split:
-            known[word] = get(some[0]) if len(some) == 1 else b"".join(map(get, some))
+            known[word] = b"".join([known[part] for part in some])
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        plain = [None if self.other.search(text) else text.split() for text in texts]
-        every = set().union(*filter(None, plain))
+    def _ids_of(self, words: list[str]) -> list[bytes]:
         if len(self.words) > CACHED_WORDS:
             # Before adding, so that no word of these texts can be missing.
             self.words, self.older = {}, self.words
-        new = every.difference(self.words)
+        known = self.words
+        new = [word for word in words if word not in known]
         if new:
             self._add_words(new)
-        get = self.words.__getitem__
-        for text, words in zip(texts, plain, strict=True):
-            yield self._whole(text) if words is None else b"".join(map(get, words))
+        return list(map(known.__getitem__, words))
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        """Each distinct word of these texts is looked up once; the ids are put together by their places."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        other = pc.match_substring_regex(texts, _OTHER)
+        plain = pc.utf8_lower(pc.if_else(other, "", texts))
+        words = pc.utf8_split_whitespace(pc.replace_substring_regex(plain, *_SIGN_BEHIND))
+        places = words.flatten().dictionary_encode()
+        found = self._ids_of(places.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        every, index = np.frombuffer(b"".join(found), dtype="<u4"), places.indices.to_numpy()
+        counts = sizes[index]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        # A word's ids follow those of the word before it in the texts; in ``every`` they start elsewhere.
+        at = np.repeat((np.cumsum(sizes) - sizes)[index] - ends[:-1], counts)
+        at += np.arange(len(at))
+        ids, bounds = every[at], ends[words.offsets.to_numpy()].tolist()
+        for nth, whole in enumerate(other.to_pylist()):
+            yield self._whole(texts[nth].as_py()) if whole else ids[bounds[nth] : bounds[nth + 1]].tobytes()
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -236,10 +255,8 @@ def pack(
 
     def rows(bins: Bins, batches: Iterator[pa.RecordBatch], tokenizer: WordTokenizer) -> Iterator[tuple]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [text or "" for text in part.column(1).to_pylist()]
-                for doc, ids in zip(part.column(0).to_pylist(), tokenizer.encode(texts), strict=True):
+            for part in _by_bytes(batch):
+                for doc, ids in zip(part.column(0).to_pylist(), tokenizer.encode(part.column(1).fill_null("")), strict=True):
                     yield from bins.add(doc, ids + end)
         yield from bins.finish()
 
@@ -261,6 +278,15 @@ def pack(
     return source.mapInArrow(packed, schema)
 
 
+def _by_bytes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of ids and texts in slices of about ``ENCODED_BYTES`` of text, a longer text at the end of one."""
+    before = pc.binary_length(batch.column(1)).fill_null(0).to_numpy().astype(np.int64)
+    before = (np.cumsum(before) - before) // ENCODED_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:]):
+        yield batch.slice(start, end - start)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     """Rows as a batch; a list of ids is given as their bytes, so that no id becomes an object."""
     columns = zip(*rows, strict=True) if rows else [[] for _ in schema]

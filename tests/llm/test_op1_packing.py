@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from sluicebox.llm import packing, queries
-from sluicebox.llm.packing import Bins, WordTokenizer, _batch, _packed, pack
+from sluicebox.llm.packing import Bins, WordTokenizer, _batch, _by_bytes, _packed, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF_DIR = "/root/testdata/sf0.01"
@@ -115,6 +115,36 @@ def test_words_that_return_after_others(monkeypatch):
         assert len(words.words) <= 12 + 40 and len(words.older) <= 12 + 40
 
 
+def test_words_differ_by_letters_alone(monkeypatch):
+    """Capitals and a sign behind don't make another word, and texts encoded together look a word up once."""
+    tokenizer, words = Tokenizer.from_file(PATH), WordTokenizer(PATH)
+    texts = ["Word, word. WORD; Été?\nword: été! word", "wORD, wORd! ÉTÉ, word, a.", "", "a, word.b word,, word"]
+    looked_up = []
+    monkeypatch.setattr(words, "_ids_of", lambda new, own=words._ids_of: looked_up.extend(new) or own(new))
+    assert list(words.encode(pa.array(texts))) == [_packed(tokenizer.encode(text, add_special_tokens=False).ids) for text in texts]
+    assert set(words.words) - {""} == {"word", "été", "a", "a.", "b", *",.;?:!", "word.b", "word,,", ",,"}
+    assert len(looked_up) == len(set(looked_up))
+
+
+def test_every_sign_of_texts_tokenised_by_words():
+    """Each with letters, capitals, digits and signs around it."""
+    tokenizer, words = Tokenizer.from_file(PATH), WordTokenizer(PATH)
+    signs = [chr(k) for k in [*range(0x250), *range(0x2000, 0x20D0)]]
+    for around in ("{}", "a{}b", "a{} b", "{}A, {}. {}b;", "1{}2", "it{}s, {}'S", "a,{}", ".{}. x", "<{}|"):
+        texts = [around.replace("{}", sign) for sign in signs]
+        for text, ids in zip(texts, words.encode(texts), strict=True):
+            assert ids == _packed(tokenizer.encode(text, add_special_tokens=False).ids), repr(text)
+
+
+def test_slices_by_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "ENCODED_BYTES", 10)
+    texts = ["long" * 10, None, "", "éé", "éé", "abc", None, "x" * 9, "x", "y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(11)), pa.array([*texts, "z"])], names=["doc_id", "text"])
+    parts = [part.column(1).to_pylist() for part in _by_bytes(batch.slice(0, 10))]
+    assert parts == [texts[:1], texts[1:6], texts[6:8], texts[8:]]
+    assert sum(parts, []) == texts and [part.num_rows for part in _by_bytes(batch.slice(0, 0))] == [0]
+
+
 def test_memory_of_many_distinct_words():
     words = WordTokenizer(PATH)
     distinct = ("".join(letters) for letters in itertools.product(string.ascii_lowercase, repeat=5))
